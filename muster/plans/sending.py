@@ -103,10 +103,12 @@ def placeholder_sends(
     )
 
 
-def massage(payloads: DataFrame) -> DataFrame:
+def massage(payloads: DataFrame, untouched: Sequence[str] = ()) -> DataFrame:
     """Payload values as text, empty ones as ``''``, names in mixed case."""
     blank = {
-        f.name: text.blank_if_falsy(F.col(f.name), f.dataType) for f in payloads.schema
+        f.name: text.blank_if_falsy(F.col(f.name), f.dataType)
+        for f in payloads.schema
+        if f.name not in untouched
     }
     massaged = payloads.withColumns(blank)
     if {"firstname", "lastname"} <= set(payloads.columns):
@@ -131,25 +133,25 @@ def overridden(batch: DataFrame, override: Sequence[str]) -> DataFrame:
     )
 
 
-def _requests(batch: DataFrame, override: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Rows with the original keys, ``destination`` and the massaged payload
-    columns under ``p``."""
-    numbers = ("position", "batch", "batch_index")
-    payload_columns = [name for name in batch.columns if name not in numbers]
+NUMBERS = ("position", "batch", "batch_index")
+
+
+def _requests(batch: DataFrame, override: Sequence[str]) -> DataFrame:
+    """Numbers, original address, ``destination`` and the massaged payload in ``p``.
+
+    The payload names the address the mail really goes to.
+    """
+    fields = [name for name in batch.columns if name not in NUMBERS]
     routed = overridden(batch, override)
-    massaged = massage(routed.select(*payload_columns, *numbers, "destination"))
-    values = [F.col(name) for name in payload_columns]
-    if override:
-        values = [F.col("destination").alias("email") if n == "email" else F.col(n)
-                  for n in payload_columns]
-    rows = massaged.select(
-        *[F.col(name).cast("long").alias(name) for name in numbers],
+    massaged = massage(routed, (*NUMBERS, "destination"))
+    values = [F.col("destination" if f == "email" else f).alias(f) for f in fields]
+    return massaged.select(
+        *NUMBERS,
         F.col("email").alias("original_email"),
         "destination",
         "mailing_name",
         F.struct(*values).alias("p"),
     )
-    return rows, payload_columns
 
 
 def _payload_json(prefix: Column | None) -> Column:
@@ -164,7 +166,7 @@ def outbound_requests(
     cc: Sequence[str] = (),
 ) -> DataFrame:
     """One request per recipient, and one copy of it per cc address."""
-    rows, _ = _requests(batch, override)
+    rows = _requests(batch, override)
     original = F.col("original_email")
     own_prefix = F.concat(F.lit("[orig "), original, F.lit("] ")) if override else None
     copy_prefix = F.concat(F.lit("[orig "), original, F.lit("]"))
@@ -204,7 +206,7 @@ def template_requests(
     bcc: Sequence[str] = (),
 ) -> DataFrame:
     """One templated request per recipient for the e-mail service."""
-    rows, _ = _requests(batch, override)
+    rows = _requests(batch, override)
     prefix = None
     if override:
         prefix = F.concat(
