@@ -158,7 +158,7 @@ def nearby_pairs(t, _spark):
 
 def nearby_pairs_grid(t, _spark):
     """The same pairs by the join meant for more events than can be broadcast."""
-    return _pairs(t, max_broadcast_venues=0, pairs_per_task=10_000)
+    return _pairs(t, max_broadcast_venues=0)
 
 
 def _roomy_pairs(t):
@@ -329,10 +329,12 @@ def outbound_requests(t, _spark):
 
 
 def template_requests(t, _spark):
-    return sending.template_requests(
+    requests = sending.template_requests(
         batches(t), "from@example.org", "reply@example.org", "invites",
         override=["stress+{{n}}@example.net"], bcc=["bcc@example.org"],
     )
+    lists = ("to_addresses", "bcc_addresses", "reply_to_addresses")
+    return requests.withColumns({name: F.array_join(name, ",") for name in lists})
 
 
 def placeholder_sends(t, _spark):

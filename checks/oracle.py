@@ -214,6 +214,52 @@ STEPS = {
         FROM {send_outcomes} s JOIN {deferred_outcomes} d ON d.secondary_id = s.secondary_id""",
 }
 
+# The steps of the next day: one day on, and seeing what the first day staged.
+OF_A_DAY = (
+    "slots", "slot_texts", "days", "synopses", "day_lists", "time_lists", "next_slots", "features",
+    "scored", "pairs", "ratios", "roomy", "best", "staged",
+)
+
+
+def _next_day(sql: str) -> str:
+    sql = sql.replace(DAY, "DATE '2020-02-13'").replace(EVENT_DAY, "DATE '2020-02-16'")
+    for name in OF_A_DAY:
+        sql = sql.replace(f"{{{name}}}", f"{{{name}_2}}")
+    return sql.replace("{schedulings}", "{schedulings_2}")
+
+
+STEPS["schedulings_2"] = f"""
+    SELECT ds, email, mailing_name, secondary_id FROM {{schedulings}}
+    UNION ALL SELECT {DAY}, email, 'event_invite', NULL FROM {{staged}}"""
+# Only the text of the tracking link names the day, and it is not looked at.
+STEPS |= {f"{name}_2": _next_day(STEPS[name]) for name in OF_A_DAY}
+STEPS["staged_2"] = STEPS["staged_2"].replace("DATE '2020-02-13' - 1)", "DATE '2020-02-13')")
+
+FIRST_NAME = """CASE WHEN lower(firstname) = 'machinery' THEN 'MacHinery'
+    ELSE upper(substr(firstname, 1, 1)) || lower(substr(firstname, 2)) END"""
+LAST_NAME = "upper(substr(lastname, 1, 1)) || lower(substr(lastname, 2))"
+
+
+def _request_json(email: str, *more: str) -> str:
+    fields = [
+        "scheduled_at := strftime(scheduled_at, '%Y-%m-%d %H:%M:%S')",
+        "ds := CAST(ds AS VARCHAR)",
+        "cons_id := CASE WHEN cons_id = 0 THEN '' ELSE CAST(cons_id AS VARCHAR) END",
+        f"email := {email}", "secondary_id := ''", "mailing_name := mailing_name",
+        "cons_city := cons_city", "cons_state := cons_state", "cons_zip := cons_zip",
+        "distance_to_event := CASE WHEN distance_to_event = 0 THEN ''"
+        " ELSE CAST(distance_to_event AS VARCHAR) END",
+        "event_url := event_url", "event_title := coalesce(event_title, '')",
+        "event_type := event_type", "event_state := event_state",
+        f"firstname := {FIRST_NAME}", f"lastname := {LAST_NAME}", *more,
+    ]
+    return f"CAST(to_json(struct_pack({', '.join(fields)})) AS VARCHAR)"
+
+
+def _quoted(json: str) -> str:
+    return f"replace(url_encode({json}), '%2F', '/')"
+
+
 PAYLOAD = """email, secondary_id, cons_id, CAST(ds AS VARCHAR) AS ds, event_url, event_title,
     CAST(distance_to_event AS DOUBLE) AS distance_to_event"""
 
@@ -297,6 +343,12 @@ BODIES = {
                CAST(CAST(round(b.miles, 2) AS DECIMAL(10, 2)) AS DOUBLE) AS distance_to_event,
                f.event_url, f.formatted_start_times AS event_formatted_start_times
         FROM {{staged}} b JOIN {{features}} f ON f.event_id = b.event_id""",
+    "schedule_two_days": f"""
+        SELECT CAST({DAY} AS VARCHAR) AS ds, cons_id, email, event_id,
+               CAST(event_start_date AS VARCHAR) AS event_start_date FROM {{staged}}
+        UNION ALL
+        SELECT '2020-02-13', cons_id, email, event_id, CAST(event_start_date AS VARCHAR)
+        FROM {{staged_2}}""",
     "next_timeslot_min": """
         SELECT event_id, strftime(start_timestamp, '%Y-%m-%d %H:%M:%S') AS start_timestamp,
                CAST(CAST(timezone('America/New_York', timezone('UTC', start_timestamp)) AS DATE) AS VARCHAR)
@@ -320,6 +372,24 @@ BODIES = {
         SELECT email, position, CASE (position % 50) % 2
                WHEN 0 THEN 'stress+' || CAST(position % 50 AS VARCHAR) || '@example.net'
                ELSE 'second@example.net' END AS destination FROM {numbered}""",
+    "outbound_requests": f"""
+        SELECT position, position // 50 AS batch, position % 50 AS batch_index,
+               email AS original_email, 'to' AS kind, email, 'M2' AS mailing_id, 0 AS email_opt_in,
+               {_quoted(_request_json("email"))} AS trigger_values FROM {{numbered}}
+        UNION ALL
+        SELECT position, position // 50, position % 50, email, 'cc', 'copy@example.net', 'M2', 0,
+               {_quoted(_request_json("email", "subject_prefix := '[orig ' || email || ']'"))}
+        FROM {{numbered}}""",
+    "template_requests": f"""
+        SELECT position, position // 50 AS batch, position % 50 AS batch_index,
+               email AS original_email, 'from@example.org' AS source, destination AS to_addresses,
+               'bcc@example.org' AS bcc_addresses, 'reply@example.org' AS reply_to_addresses,
+               mailing_name AS template,
+               {_request_json("destination",
+                   "subject_prefix := '[ override ' || destination || ' orig ' || email || ' ]'")}
+                 AS template_data, 'invites' AS configuration_set_name
+        FROM (SELECT *, 'stress+' || CAST(position % 50 AS VARCHAR) || '@example.net' AS destination
+              FROM {{numbered}})""",
     "placeholder_sends": """
         SELECT CAST(ds AS VARCHAR) AS ds, cons_id, email, secondary_id, mailing_name,
                '2020-02-12' AS sent_ds, '2020-02-12 09:00:00' AS sent_at, 'M2' AS mailing_id,
@@ -382,12 +452,8 @@ BODIES = {
     "ascii_fold": r"""
         SELECT doc_id, regexp_replace(strip_accents(replace(text, 'ß', 'ss')), '[^\x00-\x7F]', '', 'g')
                  AS folded FROM {documents}""",
-    "name_case": """
-        SELECT cons_id,
-               CASE WHEN lower(firstname) = 'machinery' THEN 'MacHinery'
-                    ELSE upper(substr(firstname, 1, 1)) || lower(substr(firstname, 2)) END AS firstname,
-               upper(substr(lastname, 1, 1)) || lower(substr(lastname, 2)) AS lastname
-        FROM {cons}""",
+    "name_case": f"""
+        SELECT cons_id, {FIRST_NAME} AS firstname, {LAST_NAME} AS lastname FROM {{cons}}""",
     "group_responses": """
         SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN NULL ELSE s_suppkey END AS group_id,
                CASE WHEN s_acctbal < 0 THEN 'No group ' || s_name END AS error

@@ -23,9 +23,24 @@ from muster.config import MailingConfig
 from muster.functions import responses
 from muster.sources.tables import LazyTables, run_sql
 
-BASE_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-)
+BASE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,"
+    " c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+    " p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+    " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
+    " value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
+BASE_TABLES = tuple(BASE_SCHEMAS)
 
 DS = dt.date(2020, 2, 12)
 RUN_TS = dt.datetime(2020, 2, 12, 9, 0)
@@ -263,12 +278,13 @@ def _builder(spark: SparkSession, sql: str):
     return lambda tables: run_sql(spark, sql, **{name: tables[name] for name in needed(sql)})
 
 
-def _reader(spark: SparkSession, path: str):
-    return lambda _tables: spark.read.parquet(path)
+def _reader(spark: SparkSession, folder: str, name: str):
+    reader = spark.read.schema(BASE_SCHEMAS[name])
+    return lambda _tables: reader.parquet(f"{folder}/{name}.parquet")
 
 
 def sample_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
     """Entities over the sample tables of a folder, each built when asked for."""
-    builders = {name: _reader(spark, f"{folder}/{name}.parquet") for name in BASE_TABLES}
+    builders = {name: _reader(spark, folder, name) for name in BASE_TABLES}
     builders.update({name: _builder(spark, sql) for name, sql in entity_sql(SPARK).items()})
     return LazyTables(builders)
