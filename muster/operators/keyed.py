@@ -24,35 +24,60 @@ def same_key(left: str, right: str, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [same(key) for key in keys])
 
 
+def distinct_keys(rows: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Distinct keys as columns without nulls.
+
+    A nullable key becomes its value and whether there is one.  Grouping by
+    these columns and joining on them need the same partitioning, so the keys
+    move once.  Grouping combines on the map side: a key repeated in a third of
+    a ledger arrives as a few rows.
+    """
+    return rows.select(*[c.alias(f"{prefix}{n}") for n, c in _plain_keys(keys)]).distinct()
+
+
+def _plain_keys(keys: Sequence[str]) -> list[tuple[str, Column]]:
+    plain = []
+    for key in keys:
+        column = F.col(key)
+        if key in NULLABLE_KEYS:
+            plain.append((key, F.coalesce(column, F.lit(0).cast("long"))))
+            plain.append((f"{key}_missing", column.isNull()))
+        else:
+            plain.append((key, column))
+    return plain
+
+
+def matched(
+    rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str, flag: str | None = None
+) -> DataFrame:
+    """Join of rows with the distinct keys of ``others``; ``flag`` names a
+    column that is true where a key was found."""
+    found = distinct_keys(others, keys, "_r_")
+    if flag:
+        found = found.withColumn(flag, F.lit(True))
+    same = reduce(Column.__and__, [c == F.col(f"_r_{n}") for n, c in _plain_keys(keys)])
+    columns = [*rows.columns, *([flag] if flag else [])]
+    return rows.join(found, same, how).select(*columns)
+
+
 def having(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in ``others``."""
-    return rows.alias("l").join(
-        others.select(*keys).alias("r"), same_key("l", "r", keys), "left_semi"
-    )
+    return matched(rows, others, keys, "left_semi")
 
 
 def without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``others``.
-
-    The other side is reduced to its distinct keys first: that combines on the
-    map side, so a key repeated in a third of a ledger arrives as a few rows.
-    """
-    return rows.alias("l").join(
-        others.select(*keys).distinct().alias("r"),
-        same_key("l", "r", keys),
-        "left_anti",
-    )
+    """Rows whose key does not occur in ``others``."""
+    return matched(rows, others, keys, "left_anti")
 
 
 def without_history(rows: DataFrame, history: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``without`` for a few rows against a history that only grows.
+    """``without`` for a few stored rows against a history that only grows.
 
     An anti join would shuffle the whole history.  A semi join first keeps the
-    part of it that can matter; where ``rows`` are small, Spark sends them to
+    part of it that can matter; where the rows are small, Spark sends them to
     the history scan and nothing of the history is shuffled.
     """
-    wanted = rows.select(*keys).distinct()
-    return without(rows, having(history.select(*keys), wanted, keys), keys)
+    return without(rows, having(history.select(*keys), rows, keys), keys)
 
 
 def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:

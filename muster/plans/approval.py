@@ -13,6 +13,7 @@ from muster.functions import dates
 from muster.operators.keyed import without_history
 from muster.plans.scheduling import publish
 from muster.sources.ledger import Ledger
+from muster.sources.scratch import cut
 
 
 def first_starts(cfg: MailingConfig, timeslots: DataFrame, events: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def approved_events(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> Data
 
 def approval_staging(approved: DataFrame, schedulings: DataFrame) -> DataFrame:
     """Approved events whose host was never written to about them."""
-    return without_history(approved, schedulings, ["email", "secondary_id", "mailing_name"])
+    return without_history(cut(approved), schedulings, ["email", "secondary_id", "mailing_name"])
 
 
 def schedule_approvals(

@@ -45,29 +45,24 @@ def next_timeslots(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> DataF
         )
         .select("id", "event_id", "start_date", "max_attendees")
     )
+    # RSVPs are counted before they move and meet slots while those are narrow;
+    # from the join with the events on, everything stays partitioned by event.
+    rsvps = rsvp_counts(tables["participations"]).withColumnRenamed("timeslot_id", "id")
     zones = tables["org_events"].select(F.col("id").alias("event_id"), "timezone")
-    texts = _slot_texts(cfg, upcoming.join(zones, "event_id"))
-    described = _describe(texts)
+    slots = upcoming.join(rsvps, "id", "left").join(zones, "event_id")
     slot = F.col("first_slot")
-    rsvps = rsvp_counts(tables["participations"]).withColumnRenamed(
-        "timeslot_id", "next_timeslot_id"
-    )
-    return (
-        described.select(
-            F.lit(cfg.ds).alias("ds"),
-            F.lit(cfg.event_ds).alias("event_ds"),
-            slot["id"].alias("next_timeslot_id"),
-            "event_id",
-            dates.day_in_zone(slot["start"], cfg.calendar_zone).alias("start_date"),
-            slot["start"].alias("start_timestamp"),
-            slot["max_attendees"].alias("max_attendees"),
-            "formatted_start_times", "csv_timeslot_urls", "csv_start_times",
-        )
-        .join(rsvps, "next_timeslot_id", "left")
-        .withColumn(
-            "spots_remaining",
-            F.col("max_attendees") - F.coalesce("rsvp_count", F.lit(0).cast("long")),
-        )
+    spots = slot["max_attendees"] - F.coalesce(slot["rsvp_count"], F.lit(0).cast("long"))
+    return _describe(_slot_texts(cfg, slots)).select(
+        F.lit(cfg.ds).alias("ds"),
+        F.lit(cfg.event_ds).alias("event_ds"),
+        slot["id"].alias("next_timeslot_id"),
+        "event_id",
+        dates.day_in_zone(slot["start"], cfg.calendar_zone).alias("start_date"),
+        slot["start"].alias("start_timestamp"),
+        slot["max_attendees"].alias("max_attendees"),
+        slot["rsvp_count"].alias("rsvp_count"),
+        spots.alias("spots_remaining"),
+        "formatted_start_times", "csv_timeslot_urls", "csv_start_times",
     )
 
 
@@ -85,6 +80,7 @@ def _slot_texts(cfg: MailingConfig, slots: DataFrame) -> DataFrame:
             F.col("start_date").alias("start"),
             "id",
             "max_attendees",
+            "rsvp_count",
             url.alias("url"),
             F.concat(weekday, F.lit(TIME_PREFIX), clock).alias("weekday_at"),
             clock.alias("clock"),

@@ -65,14 +65,18 @@ def with_zip_fallback(addresses: DataFrame, zips: DataFrame) -> DataFrame:
 
 
 def build_constituents(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Subscribed, unsuppressed people with a primary address and e-mail."""
+    """Subscribed, unsuppressed people with a primary address and e-mail.
+
+    Subscriptions are moved twice, by e-mail id and then by person; the
+    suppression lists are taken off the names, which meet them by person too.
+    """
     subscribed = (
         tables["cons_sub"]
         .where((F.col("isunsub") == 0) & (F.col("chapter_id") == cfg.chapter_id))
         .select("cons_id", "cons_email_id")
     )
     emails = tables["cons_email"].where("is_primary").select("cons_email_id", "email")
-    names = tables["cons"].select("cons_id", "firstname", "lastname")
+    names = unsuppressed(tables["cons"].select("cons_id", "firstname", "lastname"), tables)
     addresses = (
         tables["cons_addr"]
         .where((F.col("is_primary") == 1) & in_states(F.col("state_cd"), cfg))
@@ -82,7 +86,7 @@ def build_constituents(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> D
         F.col("state_abbr").alias("state_cd"), F.col("state").alias("state_name")
     )
     return (
-        unsuppressed(subscribed.join(emails, "cons_email_id"), tables)
+        subscribed.join(emails, "cons_email_id")
         .join(names, "cons_id")
         .join(with_zip_fallback(addresses, tables["zips"]), "cons_id")
         .join(state_names, "state_cd", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions import dates
-from muster.operators.keyed import same_key
+from muster.operators.keyed import matched
 from muster.plans.sending import SENT_KEYS, of_mailing, send_order, with_payloads
 
 
@@ -63,11 +63,9 @@ def event_reach(
 ) -> DataFrame:
     """How many were, and will be, invited to each event, by day."""
     rows = scheduled_payloads(schedulings, payloads, mailing_name)
-    sent = of_mailing(sends, mailing_name, None).select(*SENT_KEYS).distinct()
-    marked = rows.alias("l").join(
-        sent.withColumn("was_sent", F.lit(True)).alias("r"), same_key("l", "r", SENT_KEYS), "left"
-    )
-    return marked.groupBy("l.event_url", "l.ds").agg(
+    sent = of_mailing(sends, mailing_name, None)
+    marked = matched(rows, sent, SENT_KEYS, "left", flag="was_sent")
+    return marked.groupBy("event_url", "ds").agg(
         F.count("was_sent").alias("invited"),
         (F.count("*") - F.count("was_sent")).alias("to_invite"),
     )

@@ -67,7 +67,7 @@ def send_order(last: str = "scheduled_at") -> list[Column]:
 
 def whitelisted(rows: DataFrame, addresses: DataFrame) -> DataFrame:
     """Rows to one of the listed addresses."""
-    return having(rows, addresses.select("email").distinct(), ["email"])
+    return having(rows, addresses, ["email"])
 
 
 def send_batches(

@@ -1,0 +1,54 @@
+import ast
+import os
+import pathlib
+
+import pytest
+
+from muster.config import MailingConfig
+from muster.sources import schemas, scratch
+from muster.sources.tables import load_tables, run_sql
+from tests.helpers import DS, rows, table
+
+ROOT = pathlib.Path(__file__).parents[1] / "muster"
+
+
+def test_tables_are_read_by_schema(spark, tmp_path):
+    for name in schemas.INPUTS:
+        table(spark, name).write.parquet(str(tmp_path / name))
+    table(spark, "zips", dict(zip="1", latitude=2.0)).write.mode("append").parquet(str(tmp_path / "zips"))
+    tables = load_tables(spark, str(tmp_path))
+    assert set(tables) == set(schemas.INPUTS)
+    assert rows(run_sql(spark, "SELECT zip, longitude FROM {zips}", zips=tables["zips"])) == [("1", None)]
+
+
+def test_payload_schemas():
+    assert len(schemas.payload_schema("event_invite")) == 30
+    assert len(schemas.payload_schema("event_approval")) == 23
+    for schema in (schemas.INVITE_PAYLOAD, schemas.APPROVAL_PAYLOAD, *schemas.ledger_schemas().values()):
+        assert tuple(schema.fieldNames()[:5]) == schemas.KEYS
+
+
+@pytest.mark.parametrize("wrong", [dict(mailing_name=""), dict(event_types=()), dict(radius=0)])
+def test_config_is_checked(wrong):
+    with pytest.raises(ValueError):
+        MailingConfig(**{"ds": DS, "mailing_name": "m", **wrong})
+
+
+def test_shared_folder_is_the_named_one(spark):
+    named = spark.conf.get(scratch.SETTING)
+    assert scratch.shared_folder(spark) == named
+    before = set(os.listdir(named))
+    assert scratch.cut(spark.range(5)).count() == 5
+    assert len(set(os.listdir(named)) - before) == 1
+
+
+def test_nothing_gathers_rows_on_the_driver():
+    """``collect`` only where the number of rows is the number of tasks."""
+    calls = [
+        (path.name, node.func.attr)
+        for path in ROOT.rglob("*.py")
+        for node in ast.walk(ast.parse(path.read_text()))
+        if isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute)
+        and node.func.attr in {"collect", "toPandas", "toLocalIterator", "crossJoin", "localCheckpoint"}
+    ]
+    assert calls == [("position.py", "collect")]

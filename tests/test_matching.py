@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from muster.config import MailingConfig
 from muster.functions import geo
+from muster.operators.skew import join_crowds
 from muster.operators.spatial import within_radius
 from muster.plans import matching, scheduling
 from muster.plans.events import event_features, score_events
@@ -92,6 +93,14 @@ def test_places_give_the_same_best_events_as_pairs(spark, sample):
             person: event for person, (_, event) in best.items()}
 
 
+def test_crowded_keys_are_joined_by_broadcast(spark):
+    people = spark.range(300).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 7 END AS k")
+    lookup = people.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.col("k") * 10)
+    want = rows(people.join(lookup, "k"), "id", "k", "n", "v")
+    assert rows(join_crowds(people, lookup, ["k"], "n", 50), "id", "k", "n", "v") == want
+    assert rows(join_crowds(people, lookup, ["k"], "n"), "id", "k", "n", "v") == want
+
+
 def candidates(spark, events, slots, participations=(), cfg=CFG, **people):
     tables = world(spark, events, slots, participations, **people)
     return scheduling.invite_candidates(cfg, tables)
