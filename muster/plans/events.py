@@ -111,7 +111,7 @@ def _describe(texts: DataFrame) -> DataFrame:
     ).otherwise(F.lit(""))
     by_day = (
         texts.groupBy("event_id", "day")
-        .agg(F.array_sort(F.collect_list("slot")).alias("slots"))
+        .agg(F.sort_array(F.collect_list("slot")).alias("slots"))
         .withColumn("times", times)
         .select(
             "event_id",
@@ -129,7 +129,7 @@ def _describe(texts: DataFrame) -> DataFrame:
     synopses = F.array_distinct(F.flatten(F.transform(days, lambda d: d["synopses"])))
     return (
         by_day.groupBy("event_id")
-        .agg(F.array_sort(F.collect_list("day")).alias("days"))
+        .agg(F.sort_array(F.collect_list("day")).alias("days"))
         .select(
             "event_id",
             days[0]["first_slot"].alias("first_slot"),
