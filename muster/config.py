@@ -4,10 +4,34 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from collections.abc import Mapping
 
 from muster.functions import dates
 
 
+def _texts(value: str) -> tuple[str, ...]:
+    return tuple(part.strip() for part in value.split(","))
+
+
+def _numbers(value: str) -> tuple[int, ...]:
+    return tuple(int(part) for part in value.split(","))
+
+
+# Names of the variables that set up a job.
+_VARIABLES = {
+    "ds": ("DS", dt.date.fromisoformat),
+    "mailing_name": ("MAILING_NAME", str),
+    "invite_lead_days": ("INVITE_LEAD_DAYS", int),
+    "quiet_period_days": ("QUIET_PERIOD_DAYS", int),
+    "max_recipients_per_spot": ("MAX_RECIPIENTS_PER_SPOTS_REMAINING", int),
+    "radius": ("RADIUS", float),
+    "state_whitelist": ("STATE_WHITELIST", _texts),
+    "state_blacklist": ("STATE_BLACKLIST", _texts),
+    "tag_ids": ("TAG_ID_WHITELIST", _numbers),
+    "event_types": ("EVENT_TYPE_WHITELIST", _texts),
+}
+
+
 @dataclasses.dataclass(frozen=True)
 class MailingConfig:
     """Everything a scheduling job needs to know besides its tables.
@@ -41,6 +65,17 @@ class MailingConfig:
         if self.radius <= 0:
             raise ValueError("radius must be positive")
 
+    @classmethod
+    def from_env(cls, env: Mapping[str, str], **settings) -> MailingConfig:
+        """Configuration from job variables, lists separated by commas.
+
+        A variable that is missing or empty leaves its default.
+        """
+        for field, (variable, parse) in _VARIABLES.items():
+            if env.get(variable):
+                settings[field] = parse(env[variable])
+        return cls(**settings)
+
     def on(self, ds: dt.date) -> MailingConfig:
         """The same mailing on another day."""
         return dataclasses.replace(self, ds=ds)

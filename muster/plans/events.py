@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -176,7 +177,7 @@ def event_features(
     events = advertisable(cfg, tables)
     if next_slots is None:
         # Only what can be advertised needs texts.
-        next_slots = next_timeslots(cfg, {**tables, "org_events": events})
+        next_slots = next_timeslots(cfg, ChainMap({"org_events": events}, tables))
     starting = next_slots.where(
         (F.col("start_date") >= F.lit(cfg.event_ds))
         & (F.col("start_date") < F.lit(cfg.window_end_ds))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,7 @@ def mail_approvals(
         latest = first_per_key(
             batch, ["id"], [F.desc_nulls_last("reviewed_date"), F.asc("approval_status")]
         )
-        schedule_approvals({**tables(), "org_events": latest}, ledger, cfg, run_ts())
+        schedule_approvals(ChainMap({"org_events": latest}, tables()), ledger, cfg, run_ts())
 
     return (
         events.writeStream.foreachBatch(schedule)

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         "tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

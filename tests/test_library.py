@@ -34,6 +34,13 @@ def test_config_is_checked(wrong):
         MailingConfig(**{"ds": DS, "mailing_name": "m", **wrong})
 
 
+def test_config_from_job_variables():
+    env = {"DS": "2020-02-12", "MAILING_NAME": "m", "RADIUS": "", "STATE_WHITELIST": "FL, GA",
+           "TAG_ID_WHITELIST": "1,2", "MAX_RECIPIENTS_PER_SPOTS_REMAINING": "9"}
+    assert MailingConfig.from_env(env) == MailingConfig(
+        ds=DS, mailing_name="m", state_whitelist=("FL", "GA"), tag_ids=(1, 2), max_recipients_per_spot=9)
+
+
 def test_shared_folder_is_the_named_one(spark):
     named = spark.conf.get(scratch.SETTING)
     assert scratch.shared_folder(spark) == named

@@ -103,7 +103,7 @@ def test_other_days_and_mailings_are_not_rewritten(spark, tmp_path):
     tables = world(spark, [dict(id=1)], slots)
     approving = dataclasses.replace(CFG, mailing_name="event_approval")
     approval.schedule_approvals(tables, ledger, approving, RUN_TS)
-    scheduling.schedule_horizon(tables, ledger, CFG, RUN_TS, days=7)
+    scheduling.schedule_horizon(tables, ledger, CFG, RUN_TS, days=4)
     found = rows(ledger.schedulings(), "mailing_name", "ds", "email")
     # The second slot is on offer from its own lead day on, after the quiet days.
     assert found == [("event_approval", DS, "h@x.org"), ("event_invite", DS, "p1@x.org"),
@@ -112,7 +112,7 @@ def test_other_days_and_mailings_are_not_rewritten(spark, tmp_path):
 
 def test_horizon_keeps_the_quiet_period(spark, tmp_path, sample):
     ledger = ledger_at(spark, tmp_path, "event_invite")
-    scheduling.schedule_horizon(sample, ledger, INVITE, SAMPLE_TS, days=3)
+    scheduling.schedule_horizon(sample, ledger, INVITE, SAMPLE_TS, days=2)
     days = {}
     for ds, email in rows(ledger.schedulings(), "ds", "email"):
         days.setdefault(email, []).append(ds)
