@@ -480,6 +480,8 @@ BODIES = {
         WHERE s.isunsub = 0 GROUP BY a.state_cd""",
 }
 
+BODIES["nearby_pairs_grid"] = BODIES["nearby_pairs"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: assemble(STEPS, body) for name, body in BODIES.items()}
