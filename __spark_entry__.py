@@ -535,12 +535,20 @@ def _query(build) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: build(sample_tables(spark, sf_dir), spark)
 
 
+try:
+    from muster.llm import queries as llm
+except ImportError:  # the subpackage may be left out
+    llm = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(build) for name, build in REGISTERED.items()}
+    own = {name: _query(build) for name, build in REGISTERED.items()}
+    return own | llm.queries() if llm else own
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    own = oracle.oracle_sql()
+    return own | llm.oracle_sql() if llm else own
 
 
 def entry(spark: SparkSession) -> DataFrame:

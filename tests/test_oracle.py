@@ -3,15 +3,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle
 from checks.compare import compare
 from tests.conftest import SMALL
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.REGISTERED) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.REGISTERED)
 def test_query_equals_oracle(spark, duckdb_small, name):
     assert compare(spark, duckdb_small, name, SMALL) == ""
 
