@@ -31,20 +31,31 @@ BASE_PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# The openings of public licence notices, as words.
+# Statements and openings of public licence notices, as words.
 TEMPLATES = {
-    "apache-2.0": "licensed under the apache license version 2 0 the license you may not use this "
-    "file except in compliance with the license you may obtain a copy of the license at",
-    "bsd": "redistribution and use in source and binary forms with or without modification are "
-    "permitted provided that the following conditions are met",
-    "cc-by-4.0": "this work is licensed under a creative commons attribution 4 0 international license",
-    "gpl-notice": "this program is free software you can redistribute it and or modify it under the "
-    "terms of the gnu general public license as published by the free software foundation",
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this "
-    "software and associated documentation files the software to deal in the software without "
-    "restriction",
-    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "no-warranty": "the software is provided as is without warranty of any kind express or implied",
+    "apache-2.0": (
+        "licensed under the apache license version 2 0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in "
+        "compliance with the license you may obtain a copy of the license at",
+    ),
+    "bsd": (
+        "redistribution and use in source and binary forms with or without modification are permitted "
+        "provided that the following conditions are met",
+    ),
+    "cc-by-4.0": ("this work is licensed under a creative commons attribution 4 0 international license",),
+    "cc-by-nc-4.0": ("licensed under cc by nc 4 0",),
+    "gpl-3.0": (
+        "this work is licensed under the gnu general public license version 3",
+        "this program is free software you can redistribute it and or modify it under the terms of the "
+        "gnu general public license as published by the free software foundation either version 3",
+    ),
+    "mit": (
+        "released under the mit license",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software "
+        "and associated documentation files the software to deal in the software without restriction",
+    ),
+    "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
+    "no-warranty": ("the software is provided as is without warranty of any kind express or implied",),
 }
 
 MIN_MATCH = 4  # words of a factor that counts for a chain
@@ -67,9 +78,9 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], phrases: dict[str, str], min_coverage: float):
-        self.names = list(templates)
-        bodies = [words_of(t.encode()) for t in templates.values()]
+    def __init__(self, templates: dict[str, tuple[str, ...]], phrases: dict[str, str], min_coverage: float):
+        self.names = [label for label, texts in templates.items() for _ in texts]
+        bodies = [words_of(t.encode()) for texts in templates.values() for t in texts]
         parts = [words_of(p.encode()) for p in phrases]
         self.sizes = [len(b) for b in bodies]
         self.automaton = SuffixAutomaton(bodies + parts)
@@ -141,7 +152,7 @@ def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    templates: dict[str, str] | None = None,
+    templates: dict[str, tuple[str, ...]] | None = None,
     phrases: dict[str, str] | None = None,
     min_coverage: float = MIN_COVERAGE,
 ) -> DataFrame:
