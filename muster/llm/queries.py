@@ -6,17 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import licenses
+from muster.llm import byte_bpe, licenses, packing
 from muster.llm.frames import read_table
 
 
+def op4_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, with_ids=False)
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return byte_bpe.round_trip(docs)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return licenses.digest(licenses.scan_licenses(docs))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_license_scan,)}
+    return {f.__name__: f for f in (op4_pack_windows, op5_byte_bpe, op9_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
