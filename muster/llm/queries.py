@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, licenses, packing
+from muster.llm import byte_bpe, licenses, oracle, packing, pii
 from muster.llm.frames import read_table
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op4_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, with_ids=False)
@@ -26,8 +30,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_pack_windows, op5_byte_bpe, op9_license_scan)}
+    return {f.__name__: f for f in (op3_pii, op4_pack_windows, op5_byte_bpe, op9_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
