@@ -71,5 +71,34 @@ def _pii() -> str:
     FROM docs LEFT JOIN joined USING (row)"""
 
 
+_FINITE = "embedding IS NOT NULL AND list_bool_and([coalesce(isfinite(x), false) FOR x IN embedding])"
+
+_TOP_K = f"""
+    WITH vectors AS (
+        SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings WHERE {_FINITE}
+    ), scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id, score
+    FROM scores QUALIFY rank <= 5"""
+
+_WARC = """
+    WITH hashed AS (
+        SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+    ), first AS (
+        SELECT *, strlen(html) AS payload_bytes, min(page_id) OVER (PARTITION BY html) AS first_id FROM hashed
+    )
+    SELECT page_id, payload_bytes,
+           array_to_string([
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+                   ((('0x' || hex[10 * (i // 8) + 1:10 * (i // 8) + 10])::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1
+               ] FOR i IN range(32)], '') AS payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM first"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_pii": _pii()}
+    return {"op3_pii": _pii(), "op6_exact_top_k": _TOP_K, "op10_warc": _WARC}

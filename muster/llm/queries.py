@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, licenses, oracle, packing, pii
+from muster.llm import byte_bpe, licenses, oracle, packing, pii, topk, warc
 from muster.llm.frames import read_table
+from muster.sources.scratch import new_folder
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,13 +25,27 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return licenses.digest(licenses.scan_licenses(docs))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write_archives(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.digest(warc.assemble(warc.read_records(spark, folder, with_payload=False)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_pii, op4_pack_windows, op5_byte_bpe, op9_license_scan)}
+    registered = (
+        op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op9_license_scan, op10_warc,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
