@@ -100,5 +100,31 @@ _WARC = """
     FROM first"""
 
 
+_VECTOR_LINKS = f"""
+    WITH RECURSIVE units AS (
+        SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+        WHERE {_FINITE} AND list_bool_or([x <> 0 FOR x IN embedding])
+    ), links AS (
+        SELECT p.vec_id AS a, q.vec_id AS b FROM units p JOIN units q
+        ON p.vec_id <> q.vec_id AND list_cosine_similarity(p.v, q.v) >= 0.9
+    ), reached AS (
+        SELECT DISTINCT a AS id, a AS other FROM links
+        UNION
+        SELECT id, b FROM reached JOIN links ON a = other
+    ), found AS (
+        SELECT id, min(other) AS least FROM reached GROUP BY id
+    ), counts AS (
+        SELECT a AS id, count(*) AS n FROM links GROUP BY a
+    )
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least, vec_id) AS component_id,
+           coalesce(least, vec_id) = vec_id AS kept
+    FROM embeddings LEFT JOIN found ON found.id = vec_id LEFT JOIN counts ON counts.id = vec_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_pii": _pii(), "op6_exact_top_k": _TOP_K, "op10_warc": _WARC}
+    return {
+        "op2_embedding_dedup": _VECTOR_LINKS,
+        "op3_pii": _pii(),
+        "op6_exact_top_k": _TOP_K,
+        "op10_warc": _WARC,
+    }

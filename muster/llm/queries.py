@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, licenses, oracle, packing, pii, topk, warc
+from muster.llm import byte_bpe, licenses, neardup_vectors, oracle, packing, pii, topk, warc
 from muster.llm.frames import read_table
 from muster.sources.scratch import new_folder
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(read_table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -43,7 +47,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op9_license_scan, op10_warc,
+        op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op9_license_scan, op10_warc,
     )
     return {f.__name__: f for f in registered}
 
