@@ -121,10 +121,50 @@ _VECTOR_LINKS = f"""
     FROM embeddings LEFT JOIN found ON found.id = vec_id LEFT JOIN counts ON counts.id = vec_id"""
 
 
+_TEXT_LINKS = r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, unnest(
+            CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s
+        FROM words
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), sets AS (
+        SELECT doc_id, n, md5(string_agg(s, chr(10) ORDER BY s)) AS print
+        FROM shingles JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    ), classes AS (
+        SELECT print, n, min(doc_id) AS id FROM sets GROUP BY print, n
+    ), held AS (
+        SELECT id, n, s FROM classes JOIN shingles ON doc_id = id
+    ), common AS (
+        SELECT p.id AS a, q.id AS b, any_value(p.n + q.n) AS total, count(*) AS n
+        FROM held p JOIN held q ON p.s = q.s AND p.id < q.id GROUP BY p.id, q.id
+    ), links AS (
+        SELECT a, b FROM common WHERE 100 * n >= 75 * (total - n)
+        UNION ALL SELECT b, a FROM common WHERE 100 * n >= 75 * (total - n)
+    ), reached AS (
+        SELECT DISTINCT a AS id, a AS other FROM links
+        UNION
+        SELECT id, b FROM reached JOIN links ON a = other
+    ), found AS (
+        SELECT id, min(other) AS least FROM reached GROUP BY id
+    )
+    SELECT doc_id, coalesce(sets.n, 0)::BIGINT AS n_shingles,
+           coalesce(least, classes.id, doc_id) AS component_id,
+           coalesce(least, classes.id, doc_id) = doc_id AS kept
+    FROM documents LEFT JOIN sets USING (doc_id) LEFT JOIN classes USING (print, n) LEFT JOIN found USING (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_dedup": _VECTOR_LINKS,
         "op3_pii": _pii(),
         "op6_exact_top_k": _TOP_K,
+        "op7_minhash_dedup": _TEXT_LINKS,
         "op10_warc": _WARC,
     }

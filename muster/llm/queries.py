@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, licenses, neardup_vectors, oracle, packing, pii, topk, warc
+from muster.llm import byte_bpe, licenses, neardup_texts, neardup_vectors, oracle, packing, pii, topk, warc
 from muster.llm.frames import read_table
 from muster.sources.scratch import new_folder
 
@@ -34,6 +34,10 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_texts.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return licenses.digest(licenses.scan_licenses(docs))
@@ -47,7 +51,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op9_license_scan, op10_warc,
+        op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op7_minhash_dedup, op9_license_scan, op10_warc,
     )
     return {f.__name__: f for f in registered}
 
