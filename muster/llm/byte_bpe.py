@@ -22,7 +22,6 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import duckdb
 import numpy as np
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from muster.llm.frames import id_and_text, utf8
-from muster.llm.pretokens import PATTERN, Memory, pieces
+from muster.llm.pretokens import CACHED, Memory, words_of
 
 RANKS = "byte_bpe_50k.tiktoken"
 _BYTES_PER_QUERY = 1 << 19
@@ -47,18 +46,9 @@ WITH RECURSIVE steps(word, place, token) USING KEY (word, place) AS (
         WHERE token >= 0 AND word IN (SELECT word FROM steps)
         WINDOW places AS (PARTITION BY word ORDER BY place)
     ), ranked AS (
-        SELECT word, place, right_place, merged, min(merged) OVER (PARTITION BY word) AS least
+        SELECT word, place, right_place, merged
         FROM pairs JOIN merges ON pair = (token::BIGINT << 32) | right_token
-    ), runs AS (  -- occurrences of which each overlaps the next
-        SELECT word, place, right_place, merged, sum(apart) OVER (PARTITION BY word ORDER BY place) AS run
-        FROM (
-            SELECT *, (coalesce(lag(right_place) OVER (PARTITION BY word ORDER BY place), -1) <> place)::INT AS apart
-            FROM ranked WHERE merged = least
-        )
-    ), contracted AS (
-        SELECT word, place, right_place, merged FROM runs
-        QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY place) % 2 = 1
-    )
+    ), contracted AS ({contracted})
     SELECT word, place, merged FROM contracted
     UNION ALL
     SELECT word, right_place, -1 FROM contracted
@@ -67,6 +57,26 @@ WITH RECURSIVE steps(word, place, token) USING KEY (word, place) AS (
 SELECT word, token FROM steps WHERE token >= 0 ORDER BY word, place
 """
 
+# The leftmost minimum-rank pair of each word.
+_ONE = """
+    SELECT word, best.place AS place, best.right_place AS right_place, best.merged AS merged FROM (
+        SELECT word, min({'merged': merged, 'place': place, 'right_place': right_place}) AS best
+        FROM ranked GROUP BY word
+    )"""
+
+# For long words, all occurrences of that pair that do not overlap, from the left.
+_ALL = """
+    SELECT word, place, right_place, merged
+    FROM (  -- a run: occurrences of which each overlaps the next
+        SELECT *, sum(apart) OVER (PARTITION BY word ORDER BY place) AS run
+        FROM (
+            SELECT *, (coalesce(lag(right_place) OVER (PARTITION BY word ORDER BY place), -1) <> place)::INT AS apart
+            FROM ranked QUALIFY merged = min(merged) OVER (PARTITION BY word)
+        )
+    )
+    QUALIFY row_number() OVER (PARTITION BY word, run ORDER BY place) % 2 = 1"""
+_LONG = 64
+
 _DECODE = """
 SELECT string_agg(spelt, '' ORDER BY place) AS spelt
 FROM given JOIN vocabulary USING (token)
@@ -99,10 +109,7 @@ class Codec:
             self.db.register("source", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM source")
             self.db.unregister("source")
-        # A piece can hold several matches of the pattern, and is encoded match by match.
-        self.words = Memory(self._encode_words)
-        self.pieces = Memory(self._encode_pieces)
-        self.spelt = Memory(self._decode)
+        self.words = Memory(self._code_words, CACHED * 7 // 10)
 
     def _ask(self, sql: str, words: np.ndarray, places: np.ndarray, tokens: np.ndarray) -> pa.Table:
         given = pa.table({"word": words, "place": places, "token": tokens})
@@ -112,52 +119,48 @@ class Codec:
         finally:
             self.db.unregister("given")
 
-    def _merge(self, words: list[bytes]) -> Iterator[bytes]:
-        sizes = np.array([len(w) for w in words])
-        flat = np.frombuffer(b"".join(words), dtype=np.uint8)
+    def _rows(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         starts = np.cumsum(sizes) - sizes
-        number = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
-        place = (np.arange(len(flat)) - np.repeat(starts, sizes)).astype(np.int32)
-        table = self._ask(_ENCODE, number, place, self.of_byte[flat])
-        ids = table.column("token").to_numpy().astype("<u4").tobytes()
-        ends = 4 * np.cumsum(np.bincount(table.column("word").to_numpy(), minlength=len(words)))
-        for start, end in zip(chain([0], ends.tolist()), ends.tolist()):
-            yield ids[start:end]
-
-    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
-        spelt = [w.encode() for w in words]
-        open_ = [w for w in spelt if w not in self.ranks]
-        merged: dict[bytes, bytes] = {}
-        for part in _parts(open_):
-            merged.update(zip(part, self._merge(part), strict=True))
-        for word in spelt:
-            yield merged[word] if word in merged else self.ranks[word].to_bytes(4, "little")
-
-    def _encode_pieces(self, found: list[str]) -> Iterator[bytes]:
-        matches = [PATTERN.findall(piece) for piece in found]
-        ids = self.words.know(chain.from_iterable(matches))
-        for match in matches:
-            yield b"".join([ids[w] for w in match])
-
-    def _decode(self, runs: list[bytes]) -> Iterator[bytes]:
+        number = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        place = np.arange(len(flat), dtype=np.int32) - np.repeat(starts, sizes).astype(np.int32)
+        return number, place, flat
+
+    def merge(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of words, none of them empty."""
+        for part in _parts(words):
+            flat = np.frombuffer(b"".join(part), dtype=np.uint8)
+            sizes = np.array([len(w) for w in part])
+            contracted = _ALL if sizes.max() > _LONG else _ONE
+            sql = _ENCODE.replace("{contracted}", contracted)
+            table = self._ask(sql, *self._rows(self.of_byte[flat], sizes))
+            ids = table.column("token").to_numpy().astype("<u4").tobytes()
+            counts = np.bincount(table.column("word").to_numpy(), minlength=len(part))
+            ends = (4 * np.cumsum(counts)).tolist()
+            for start, end in zip([0, *ends], ends):
+                yield ids[start:end]
+
+    def spell(self, runs: list[bytes]) -> Iterator[bytes]:
+        """Bytes of runs of ids, none of them empty."""
         for part in _parts(runs):
             sizes = np.array([len(r) // 4 for r in part])
             flat = np.frombuffer(b"".join(part), dtype="<u4").astype(np.int32)
-            starts = np.cumsum(sizes) - sizes
-            number = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
-            place = (np.arange(len(flat)) - np.repeat(starts, sizes)).astype(np.int32)
-            yield from map(bytes.fromhex, self._ask(_DECODE, number, place, flat).column("spelt").to_pylist())
+            table = self._ask(_DECODE, *self._rows(flat, sizes))
+            if len(table) != len(part):
+                raise ValueError("an id is not in the vocabulary")
+            yield from map(bytes.fromhex, table.column("spelt").to_pylist())
 
-    def encode(self, texts: list[str]) -> list[list[bytes]]:
-        """Each text's ids, as runs that follow each other."""
-        cut = [pieces(t) for t in texts]
-        ids = self.pieces.know(chain.from_iterable(cut))
-        return [[ids[p] for p in c] for c in cut]
+    def _code_words(self, words: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of each word, and the bytes decoded from them."""
+        spelt = [w.encode() for w in words]
+        open_ = sorted((w for w in spelt if w not in self.ranks), key=len)
+        merged = dict(zip(open_, self.merge(open_), strict=True))
+        ids = [merged[w] if w in merged else self.ranks[w].to_bytes(4, "little") for w in spelt]
+        return zip(ids, self.spell(ids), strict=True)
 
-    def decode(self, runs: list[list[bytes]]) -> list[bytes]:
-        """The bytes of ids given as runs; the bytes of a run depend on no other."""
-        spelt = self.spelt.know(filter(None, chain.from_iterable(runs)))
-        return [b"".join([spelt[r] for r in own if r]) for own in runs]
+    def code(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """Each text's ids, and the bytes decoded from them."""
+        for coded in self.words.values([words_of(t) for t in texts]):
+            yield tuple(map(b"".join, zip(*coded))) if coded else (b"", b"")
 
 
 def _parts(items: list[bytes]) -> Iterator[list[bytes]]:
@@ -199,9 +202,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
         for batch in batches:
             texts = [t.decode() for t in utf8(batch.column("text"))]
             ids = [
-                np.frombuffer(b"".join(runs), dtype="<u4").astype(np.int32)
+                np.frombuffer(coded, dtype="<u4").astype(np.int32)
                 for part in _few(texts, len)
-                for runs in codec(path).encode(part)
+                for coded, _ in codec(path).code(part)
             ]
             arrays = [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids"])
@@ -216,7 +219,8 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ran
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.array(r.as_py() or [], dtype="<u4").tobytes() for r in batch.column("ids")]
-            texts = [t for part in _few(rows, len) for t in codec(path).decode([[r] for r in part])]
+            spelt = codec(path).spell([r for r in rows if r])
+            texts = [next(spelt) if r else b"" for r in rows]
             arrays = [batch.column("doc_id"), pa.array(texts, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "bytes"])
 
@@ -237,9 +241,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             texts = [t.decode() for t in utf8(batch.column("text"))]
             rows = []
             for part in _few(texts, len):
-                runs = codec(path).encode(part)
-                for own, decoded in zip(runs, codec(path).decode(runs), strict=True):
-                    ids = b"".join(own)
+                for ids, decoded in codec(path).code(part):
                     rows.append(
                         (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())
                     )

@@ -1,9 +1,7 @@
-"""Cutting texts into pieces that a byte-level BPE encodes independently, and a
-bounded memory of pieces already encoded.
+"""Cutting texts into words for a byte-level BPE, and a bounded memory of words.
 
-The pattern's matches never span the cuts made here, so a text's ids are the
-ids of its pieces in order, and each task encodes a piece once however often it
-occurs.
+The pattern's matches are encoded independently, so a text's ids are those of
+its words in order, and a task encodes a word once however often it occurs.
 """
 
 from __future__ import annotations
@@ -13,53 +11,42 @@ from collections.abc import Callable, Iterable
 import public_tokenizers
 import regex
 
-# All white space but the blank and the newline.
-_OTHER_SPACES = "\t\r\x0b\x0c\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
-    map(chr, range(0x2000, 0x200B))
-)
-_RUNS = ("  ", " \n", "\n ", "\n\n", "\x00")
-
-PATTERN = regex.compile(public_tokenizers.PATTERN)
-CACHED_PIECES = 400_000
-
-
-def pieces(text: str) -> list[str]:
-    """Parts of ``text``, in order, whose matches of the pattern are those of the text.
-
-    Where white space comes only as single blanks and newlines between other
-    characters, a match ends before each of them, a blank belongs to the match
-    after it, and a newline is a match of its own; then cutting there is enough.
-    Any other text is cut into the matches themselves.
-    """
-    if any(r in text for r in _RUNS) or any(c in text for c in _OTHER_SPACES):
-        return PATTERN.findall(text)
-    cut = text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
-    return list(filter(None, cut))
+words_of = regex.compile(public_tokenizers.PATTERN).findall
+CACHED = 1_000_000
 
 
 class Memory:
     """Values of keys, found by ``find`` for many keys at once and kept for a while.
 
-    Holds at most twice ``limit`` keys beyond those of one call: when the young
-    generation is full, the old one goes.
+    Between calls it holds at most two generations of ``limit`` keys and what one
+    call added: when the young generation is full, the old one goes.
     """
 
-    def __init__(self, find: Callable[[list], Iterable], limit: int = CACHED_PIECES):
+    def __init__(self, find: Callable[[list], Iterable], limit: int = CACHED):
         self.find = find
         self.limit = limit
         self.young: dict = {}
         self.old: dict = {}
 
-    def know(self, keys: Iterable) -> dict:
-        """A mapping that has all of ``keys``; good until the next call."""
+    def values(self, groups: list[list]) -> list[list]:
+        """The values of each group's keys, in order.  No value is None."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        unknown = []
-        for key in set(keys).difference(young):
-            if key in old:
-                young[key] = old[key]
-            else:
-                unknown.append(key)
-        young.update(zip(unknown, self.find(unknown), strict=True))
-        return young
+        found = [list(map(young.get, group)) for group in groups]
+        unknown: dict = {}
+        holes = []
+        for group, values in zip(groups, found):
+            for at in [i for i, value in enumerate(values) if value is None]:
+                key = group[at]
+                holes.append((values, at, key))
+                if key in old:
+                    young[key] = old[key]
+                else:
+                    unknown[key] = None
+        if unknown:
+            keys = list(unknown)
+            young.update(zip(keys, self.find(keys), strict=True))
+        for values, at, key in holes:
+            values[at] = young[key]
+        return found
