@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, licenses, neardup_texts, neardup_vectors, oracle, packing, pii, topk, warc
+from muster.llm import byte_bpe, licenses, neardup_texts, neardup_vectors, oracle, packing, pii, suffix_dedup, topk, warc
 from muster.llm.frames import read_table
 from muster.sources.scratch import new_folder
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffix_dedup.digest(suffix_dedup.repeated_spans(docs))
+
+
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
@@ -51,7 +56,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op7_minhash_dedup, op9_license_scan, op10_warc,
+        op1_suffix_dedup, op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op7_minhash_dedup, op9_license_scan, op10_warc,
     )
     return {f.__name__: f for f in registered}
 
