@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.llm import byte_bpe, licenses, neardup_texts, neardup_vectors, oracle, packing, pii, suffix_dedup, topk, warc
+import corpus_pipeline
+from muster.llm import (
+    byte_bpe,
+    licenses,
+    neardup_texts,
+    neardup_vectors,
+    oracle,
+    packing,
+    pii,
+    suffix_dedup,
+    topk,
+    toxicity,
+    warc,
+)
 from muster.llm.frames import read_table
 from muster.sources.scratch import new_folder
 
@@ -43,6 +56,15 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_texts.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.toxicity(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic")).drop("evidence")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return licenses.digest(licenses.scan_licenses(docs))
@@ -56,7 +78,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
-        op1_suffix_dedup, op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k, op7_minhash_dedup, op9_license_scan, op10_warc,
+        op1_suffix_dedup, op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k,
+        op7_minhash_dedup, op8_toxicity, op9_license_scan, op10_warc, pipeline,
     )
     return {f.__name__: f for f in registered}
 
