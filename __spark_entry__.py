@@ -537,8 +537,10 @@ def _query(build) -> Callable[[SparkSession, str], DataFrame]:
 
 try:
     from muster.llm import queries as llm
-except ImportError:  # the subpackage may be left out
-    llm = None
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("muster.llm", "corpus_pipeline")):
+        raise
+    llm = None  # the subpackage has been left out
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
