@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,13 +21,68 @@ CONJUNCTIONS = ("and", "et", "e", "of", "the", "und", "y")
 # Words with a spelling of their own.
 SPECIAL_WORDS = {"ii": "II", "iii": "III", "iv": "IV", "md": "M.D.", "phd": "Ph.D."}
 
-# Letters and marks that do not decompose into ASCII.
-ASCII_SPELLINGS = {
-    "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O",
-    "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th", "ł": "l",
-    "Ł": "L", "ı": "i", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-",
-    "—": "--", "«": "<<", "»": ">>", "¿": "?", "¡": "!",
+# ASCII spellings of letters and marks that do not decompose into ASCII.
+LATIN_SPELLINGS = {
+    "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O",
+    "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th", "ł": "l", "Ł": "L",
+    "ħ": "h", "Ħ": "H", "ŋ": "ng", "Ŋ": "NG", "ı": "i", "ĸ": "k", "ŧ": "t", "Ŧ": "T",
 }
+MARK_SPELLINGS = {
+    "‘": "'", "’": "'", "‚": ",", "“": '"', "”": '"', "„": ",,", "–": "-", "—": "--", "−": "-",
+    "‐": "-", "‑": "-", "«": "<<", "»": ">>", "‹": "<", "›": ">", "¿": "?", "¡": "!", "•": "*",
+    "·": "*", "×": "x", "÷": "/", "⁄": "/", "°": "deg", "§": "SS", "©": "(c)", "®": "(r)",
+    "€": "EUR", "£": "GBP", "¥": "JPY", "¢": "c", "₽": "RUB", "₹": "INR", "₩": "KRW", "₪": "ILS",
+}
+CYRILLIC_SPELLINGS = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "io", "ж": "zh", "з": "z",
+    "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r",
+    "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh",
+    "щ": "shch", "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "є": "ie",
+    "і": "i", "ї": "yi", "ґ": "g", "ў": "u", "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "tsh",
+    "џ": "dzh",
+}
+GREEK_SPELLINGS = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i",
+    "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s",
+    "σ": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+# Syllables whose spelling follows from their Unicode name, as "HIRAGANA LETTER KA".
+_SYLLABLE = re.compile(r"(?:HIRAGANA|KATAKANA) LETTER (?:SMALL )?([A-Z]+)$")
+# Blocks with spellings: Latin, Greek, Cyrillic, punctuation, currencies, fractions, kana.
+_BLOCKS = ((0x80, 0x250), (0x370, 0x460), (0x1E00, 0x2000), (0x2000, 0x2070), (0x20A0, 0x20C0),
+           (0x2100, 0x2190), (0x3040, 0x3100), (0xFB00, 0xFB07))
+# What stands for a letter or digit that none of this spells.
+UNSPELLED = "?"
+# Markers for spellings of several characters, from the area for private use;
+# those of syllables follow the others.
+_MARKERS, _SYLLABLE_MARKERS = 0xE000, 0xE800
+
+
+def _spelling(char: str, fixed: dict[str, str]) -> str:
+    syllable = _SYLLABLE.match(unicodedata.name(char, ""))
+    if syllable:
+        return syllable[1].lower()
+    parts = []
+    for part in unicodedata.normalize("NFKD", fixed.get(char, char)):
+        kind = unicodedata.category(part)[0]
+        if part.isascii():
+            parts.append(part)
+        elif part in fixed:
+            parts.append(fixed[part])
+        elif kind in "LN":
+            parts.append(UNSPELLED)
+        elif kind == "Z":
+            parts.append(" ")
+    return "".join(parts)
+
+
+@cache
+def ascii_spellings() -> dict[str, str]:
+    """Spelling of each character of the blocks; marks on letters have none."""
+    fixed = dict(LATIN_SPELLINGS | MARK_SPELLINGS)
+    for letter, spelling in (CYRILLIC_SPELLINGS | GREEK_SPELLINGS).items():
+        fixed |= {letter.upper(): spelling.capitalize(), letter: spelling}
+    return {c: _spelling(c, fixed) for first, end in _BLOCKS for c in map(chr, range(first, end))}
 
 
 def is_plain_address(email: Column) -> Column:
@@ -56,26 +112,46 @@ def blank_if_falsy(value: Column, kind: T.DataType) -> Column:
     return F.when(value.isNull() | empty, F.lit("")).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def _fold(texts: pd.Series) -> pd.Series:
-    spellings = str.maketrans(ASCII_SPELLINGS)
-
-    def plain(text):
-        decomposed = unicodedata.normalize("NFKD", text.translate(spellings))
-        return decomposed.encode("ascii", "ignore").decode("ascii")
-
-    return texts.map(plain, na_action="ignore")
-
-
 def fold_ascii(text: Column) -> Column:
-    """Closest ASCII spelling; what has none is dropped.
-
-    Spark has no Unicode normalisation, so this is the one Arrow UDF of the
-    package.  Text that is ASCII already stays in the JVM: the UDF gets a null
-    in its place.
+    """ASCII spelling of a text.
+
+    Accents go, Cyrillic, Greek, kana and some other alphabets are romanised,
+    currencies and marks spelled out.  A letter or digit without a spelling
+    becomes ``?``, so no text of letters becomes empty; other symbols, control
+    characters and marks are dropped.  The table is made when the plan is, and
+    applied by ``translate``; the few spellings of several characters go through
+    a marker each.  ASCII texts are left as they are.
     """
-    foreign = text.rlike(r"[^\x00-\x7F]")
-    return F.when(foreign, _fold(F.when(foreign, text))).otherwise(text)
+    spelled = ascii_spellings()
+    marker: dict[str, str] = {}
+    for char, spelling in spelled.items():
+        if len(spelling) > 1:
+            first = _SYLLABLE_MARKERS if _SYLLABLE.match(unicodedata.name(char, "")) else _MARKERS
+            marker.setdefault(spelling, chr(first + len(marker)))
+    # Characters that are dropped come last, beyond the targets.
+    kept = {c: marker.get(v, v) for c, v in spelled.items() if v}
+    source = "".join([*kept, *(c for c, v in spelled.items() if not v)])
+    known = "".join(f"\\x{{{first:x}}}-\\x{{{end - 1:x}}}" for first, end in _BLOCKS)
+    # Outside the blocks: letters and digits are marked, and the rest is dropped.
+    folded = F.regexp_replace(text, rf"[^\x00-\x7F{known}\p{{L}}\p{{N}}]", "")
+    folded = F.regexp_replace(folded, rf"[^\x00-\x7F{known}]", UNSPELLED)
+    folded = F.translate(folded, source, "".join(kept.values()))
+
+    def spelt(value: Column, first: int, end: int) -> Column:
+        result = value
+        for spelling, mark in marker.items():
+            if first <= ord(mark) < end:
+                result = F.replace(result, F.lit(mark), F.lit(spelling))
+        return F.when(value.rlike(rf"[\x{{{first:x}}}-\x{{{end - 1:x}}}]"), result).otherwise(value)
+
+    for first, end in ((_MARKERS, _SYLLABLE_MARKERS), (_SYLLABLE_MARKERS, 0xF000)):
+        folded = _let(folded, lambda value, first=first, end=end: spelt(value, first, end))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
 def _capitalised(word: Column) -> Column:
