@@ -11,6 +11,7 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -44,6 +45,7 @@ REPORT_FIELDS = ["event_state", "event_url", "event_type"]
 RECUR_DAYS = [dt.date(2020, 2, 5) + dt.timedelta(days=n) for n in range(7)]
 DEFERRED_TS = RUN_TS + dt.timedelta(hours=2)
 SENT_TS = RUN_TS + dt.timedelta(hours=1)
+MESSAGES = "event_alert"
 
 
 def plain(df: DataFrame, *columns: str) -> DataFrame:
@@ -311,10 +313,23 @@ def pending_count(t, _spark):
     return plain(pending(t).groupBy("ds").agg(F.count("*").alias("c")))
 
 
+def pending_total(t, _spark):
+    return sending.count_rows(pending(t))
+
+
+def deferrals_total(t, _spark):
+    return sending.count_rows(sending.pending_deferrals(t["sends"], "event_invite"))
+
+
 def send_batches(t, _spark):
     return batches(t).select("email", "position", "batch", "batch_index")
 
 
+def send_batches_limited(t, _spark):
+    """The limit of a mailing, met by whole batches."""
+    return batches(t, limit=70).select("email", "position", "batch", "batch_index")
+
+
 def whitelist(t, _spark):
     return batches(t, whitelist=t["messages"]).select("email", "position")
 
@@ -371,6 +386,20 @@ def apply_outcomes(t, _spark):
     )
 
 
+def ledger_sending(t, spark):
+    """``apply_outcomes`` through the ledger, whose days are compacted at the end."""
+    ledger = ledgers.Ledger(spark, new_folder(spark, "ledger")).init()
+    ledger.append_sends(sending.placeholder_sends(t["messages"], "M1", DS, RUN_TS), RUN_TS)
+    jobs.record_send_responses(ledger, t["send_responses"], MESSAGES, None, SENT_TS)
+    jobs.record_deferred_responses(ledger, t["deferred_responses"], MESSAGES, None, DEFERRED_TS)
+    for day in ledger.send_log().select("ds").distinct().collect():
+        ledger.compact_sends(MESSAGES, day.ds)
+    return plain(
+        ledger.sends(),
+        *schemas.KEYS, "mailing_recipient_id", "mailing_send_id", "deferred_task_id",
+    )
+
+
 def reset_sends(t, _spark):
     days = [dt.date(2020, 2, 10), dt.date(2020, 2, 11)]
     kept = sending.reset_sends(t["sends"], days, "event_invite", "M1", schemas.PLACE)
@@ -481,13 +510,22 @@ def long_values(t, _spark):
 
 
 def personalization_files(t, spark):
-    """Two of the datasets, written and read back."""
+    """The datasets, written and read back under their headers."""
     folder = new_folder(spark, "datasets")
-    columns = ["firstname", "event_state"]
-    dataset = recurring(t).dataset.drop("event_title")
-    sinks.write_personalization(dataset, columns, "inv", folder)
-    read = spark.read.option("header", True)
-    return read.schema("cons_id_event_invite BIGINT, value STRING, slug STRING").csv(folder)
+    sinks.write_personalization(cut(recurring(t).dataset), AUDIENCE_COLUMNS, "inv", folder)
+
+    def dataset(column: str) -> DataFrame:
+        schema = f"cons_id_event_invite BIGINT, {column} STRING"
+        read = sinks.read_personalization(spark, folder, f"inv_{column}", schema)
+        return read.withColumnRenamed(column, "value").withColumn("slug", F.lit(f"inv_{column}"))
+
+    return reduce(DataFrame.unionByName, map(dataset, AUDIENCE_COLUMNS))
+
+
+def identity_map_file(t, spark):
+    folder = new_folder(spark, "identities")
+    sinks.write_identity_map(recurring(t).identity_map, folder)
+    return sinks.read_identity_map(spark, folder, "cons_id BIGINT, cons_id_event_invite BIGINT")
 
 
 def recipient_group_file(t, spark):
@@ -521,12 +559,12 @@ REGISTERED = {
         nearby_pairs_grid, capacity_filter, score_pairs, best_event, invite_staging, payload_upsert,
         scheduling_upsert, reset_schedulings, ledger_publish, schedule_two_days, next_timeslot_min,
         approved_events, approval_staging, approval_stream, pending_sends, pending_count,
-        send_batches, whitelist, override_round_robin, outbound_requests, template_requests,
-        placeholder_sends, classify_send, classify_deferred, classify_ses, apply_outcomes,
+        pending_total, deferrals_total, send_batches, send_batches_limited, whitelist, override_round_robin, outbound_requests, template_requests,
+        placeholder_sends, classify_send, classify_deferred, classify_ses, apply_outcomes, ledger_sending,
         reset_sends, pending_deferrals, send_status_summary, group_responses, forecast_detail,
         forecast_all_time, forecast_by_week, forecast_report, event_reach, ad_hoc_sql,
         audience_group, audience_map, audience_dataset, personalization_files,
-        recipient_group_file, payload_massage, ascii_fold, name_case,
+        identity_map_file, recipient_group_file, payload_massage, ascii_fold, name_case,
     )
 } | {"personalization_long": long_values}
 

@@ -7,7 +7,12 @@ and count whole people-by-event pairs, where the Spark side works on places.
 from __future__ import annotations
 
 from checks.duck import assemble
-from muster.functions import responses as answers
+
+# Texts by which an answer is recognised.
+UNSUBSCRIBED_TEXT = "This e-mail address is unsubscribed and cannot be delivered to"
+INVALID_TEXT = "Must be a valid e-mail address"
+ALREADY_DELIVERED_TEXT = "The requested deferred result has already been delivered"
+RATE_LIMIT_TEXT = "Rate limit exceeded"
 
 DAY = "DATE '2020-02-12'"
 EVENT_DAY = "DATE '2020-02-15'"
@@ -22,6 +27,11 @@ def _local(ts: str, zone: str) -> str:
     return f"timezone({zone}, timezone('UTC', {ts}))"
 
 
+_BOTH_IDS = (
+    "json_valid(body) AND json_extract_string(body, '$.mailing_recipient_id') IS NOT NULL"
+    " AND json_extract_string(body, '$.mailing_send_id') IS NOT NULL"
+)
+
 STEPS = {
     "suppressed": """
         SELECT cons_id FROM {suppressed_isp} UNION SELECT cons_id FROM {suppressed_inactive}
@@ -178,30 +188,27 @@ STEPS = {
                                      cons_id) - 1 AS position FROM {pending}""",
     "send_outcomes": f"""
         SELECT *, CASE
-            WHEN contains(body, '{answers.UNSUBSCRIBED_TEXT}') THEN 'UNSUB'
-            WHEN contains(body, '{answers.INVALID_TEXT}') THEN 'INVAL'
+            WHEN contains(body, '{UNSUBSCRIBED_TEXT}') THEN 'UNSUB'
+            WHEN contains(body, '{INVALID_TEXT}') THEN 'INVAL'
             WHEN status = 202 AND body <> '' THEN 'DEFER'
             WHEN status = 503 THEN 'ERROR'
-            WHEN body LIKE '{{{{"mailing_recipient_id"%"mailing_send_id"%'
-                 THEN regexp_extract(body, '"mailing_recipient_id": "([^"]*)"', 1)
+            WHEN {_BOTH_IDS} THEN json_extract_string(body, '$.mailing_recipient_id')
+            WHEN json_valid(body) AND body <> '{{{{}}}}' THEN 'PLACE'
             ELSE 'ERROR' END AS recipient,
-          CASE WHEN body LIKE '{{{{"mailing_recipient_id"%"mailing_send_id"%'
-               THEN regexp_extract(body, '"mailing_send_id": "([^"]*)"', 1) END AS send,
+          CASE WHEN {_BOTH_IDS} THEN json_extract_string(body, '$.mailing_send_id') END AS send,
           CASE WHEN status = 202 AND body <> ''
-               THEN regexp_extract(body, '"deferred_task_id": "([^"]*)"', 1) END AS task
+               THEN json_extract_string(body, '$.deferred_task_id') END AS task
         FROM {{send_responses}}""",
     "deferred_outcomes": f"""
         SELECT *, CASE
-            WHEN status = 202 OR contains(body, '{answers.RATE_LIMIT_TEXT}') THEN 'DEFER'
-            WHEN contains(body, '{answers.UNSUBSCRIBED_TEXT}') THEN 'UNSUB'
-            WHEN contains(body, '{answers.INVALID_TEXT}') THEN 'INVAL'
-            WHEN contains(body, '{answers.ALREADY_DELIVERED_TEXT}') THEN 'UNKNO'
-            WHEN body LIKE '{{{{"mailing_recipient_id"%"mailing_send_id"%'
-                 THEN regexp_extract(body, '"mailing_recipient_id": "([^"]*)"', 1)
+            WHEN status = 202 OR contains(body, '{RATE_LIMIT_TEXT}') THEN 'DEFER'
+            WHEN contains(body, '{UNSUBSCRIBED_TEXT}') THEN 'UNSUB'
+            WHEN contains(body, '{INVALID_TEXT}') THEN 'INVAL'
+            WHEN contains(body, '{ALREADY_DELIVERED_TEXT}') THEN 'UNKNO'
+            WHEN {_BOTH_IDS} THEN json_extract_string(body, '$.mailing_recipient_id')
             ELSE 'ERROR' END AS recipient,
-          CASE WHEN body LIKE '{{{{"mailing_recipient_id"%"mailing_send_id"%'
-               THEN regexp_extract(body, '"mailing_send_id": "([^"]*)"', 1) END AS send,
-          CASE WHEN status = 202 OR contains(body, '{answers.RATE_LIMIT_TEXT}')
+          CASE WHEN {_BOTH_IDS} THEN json_extract_string(body, '$.mailing_send_id') END AS send,
+          CASE WHEN status = 202 OR contains(body, '{RATE_LIMIT_TEXT}')
                THEN deferred_task_id END AS task
         FROM {{deferred_responses}}""",
     # A message that was accepted has the state of its later result.
@@ -244,11 +251,11 @@ def _request_json(email: str, *more: str) -> str:
     fields = [
         "scheduled_at := strftime(scheduled_at, '%Y-%m-%d %H:%M:%S')",
         "ds := CAST(ds AS VARCHAR)",
-        "cons_id := CASE WHEN cons_id = 0 THEN '' ELSE CAST(cons_id AS VARCHAR) END",
+        "cons_id := CAST(CASE WHEN cons_id = 0 THEN '\"\"' ELSE CAST(cons_id AS VARCHAR) END AS JSON)",
         f"email := {email}", "secondary_id := ''", "mailing_name := mailing_name",
         "cons_city := cons_city", "cons_state := cons_state", "cons_zip := cons_zip",
-        "distance_to_event := CASE WHEN distance_to_event = 0 THEN ''"
-        " ELSE CAST(distance_to_event AS VARCHAR) END",
+        "distance_to_event := CAST(CASE WHEN distance_to_event = 0 THEN '\"\"'"
+        " ELSE CAST(distance_to_event AS VARCHAR) END AS JSON)",
         "event_url := event_url", "event_title := coalesce(event_title, '')",
         "event_type := event_type", "event_state := event_state",
         f"firstname := {FIRST_NAME}", f"lastname := {LAST_NAME}", *more,
@@ -440,9 +447,6 @@ BODIES = {
         SELECT cons_id AS cons_id_event_invite, u.slug, u.value FROM {pending},
           LATERAL (VALUES ('inv_firstname', firstname), ('inv_event_title', event_title),
                           ('inv_event_state', event_state)) u(slug, value)""",
-    "personalization_files": """
-        SELECT cons_id AS cons_id_event_invite, u.slug, u.value FROM {pending},
-          LATERAL (VALUES ('inv_firstname', firstname), ('inv_event_state', event_state)) u(slug, value)""",
     "recipient_group_file": "SELECT CAST(cons_id AS VARCHAR) AS cons_id FROM {pending}",
     "payload_massage": """
         SELECT email, coalesce(event_title, '') AS event_title, event_type,
@@ -481,6 +485,13 @@ BODIES = {
 }
 
 BODIES["nearby_pairs_grid"] = BODIES["nearby_pairs"]
+BODIES["personalization_files"] = BODIES["personalization_long"]
+BODIES["identity_map_file"] = BODIES["audience_map"]
+BODIES["ledger_sending"] = BODIES["apply_outcomes"]
+BODIES["send_batches_limited"] = BODIES["send_batches"] + " WHERE position < 100"
+BODIES["pending_total"] = "SELECT count(*) AS c FROM {pending}"
+BODIES["deferrals_total"] = """
+    SELECT count(*) AS c FROM {sends} WHERE mailing_recipient_id = 'DEFER' AND mailing_send_id = 'DEFER'"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,9 +23,28 @@ def says(body: Column, text: str) -> Column:
     return F.coalesce(body.contains(text), F.lit(False))
 
 
+# JSON values that say nothing, as Spark writes them.
+_EMPTY_JSON = ("", "{}", "[]", "0", "0.0", "-0", "-0.0", "false", "null")
+
+
+def json_document(body: Column) -> Column:
+    """The text if it is exactly one JSON value, else null.
+
+    Reading a field accepts text after a value, and several values in a row;
+    counting what an array of the text holds does not.
+    """
+    return F.when(F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1, body)
+
+
 def json_field(body: Column, name: str) -> Column:
     """Field of a JSON object; null if the text is no JSON or lacks the field."""
-    return F.get_json_object(body, f"$.{name}")
+    return F.get_json_object(json_document(body), f"$.{name}")
+
+
+def says_something(body: Column) -> Column:
+    """Whether the text is a JSON value that isn't empty."""
+    value = F.get_json_object(json_document(body), "$")
+    return F.coalesce(~value.isin(*_EMPTY_JSON), F.lit(False))
 
 
 def group_xml(body: Column) -> Column:

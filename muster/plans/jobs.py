@@ -41,26 +41,46 @@ def prepare_send(
 
 
 def _record(
-    ledger: Ledger, outcomes: DataFrame, awaiting: str, run_ts: dt.datetime
+    ledger: Ledger,
+    outcomes: DataFrame,
+    awaiting: str,
+    mailing_name: str,
+    ds: dt.date | None,
+    run_ts: dt.datetime,
 ) -> None:
-    ledger.append_sends(
-        cut(sending.resolved_sends(ledger.sends(), outcomes, awaiting, run_ts)), run_ts
-    )
+    """Store what became of a mailing's sends, of one day or of all.
+
+    Day and mailing are parts of the send log's layout, so one day's answers
+    read one day's folder.
+    """
+    sends, met = (sending.of_mailing(rows, mailing_name, ds) for rows in (ledger.sends(), outcomes))
+    ledger.append_sends(cut(sending.resolved_sends(sends, met, awaiting, run_ts)), run_ts)
 
 
-def record_send_responses(ledger: Ledger, log: DataFrame, run_ts: dt.datetime) -> None:
-    _record(ledger, sending.classify_send_responses(log), schemas.PLACE, run_ts)
+def record_send_responses(
+    ledger: Ledger, log: DataFrame, mailing_name: str, ds: dt.date | None, run_ts: dt.datetime
+) -> None:
+    outcomes = sending.classify_send_responses(log)
+    _record(ledger, outcomes, schemas.PLACE, mailing_name, ds, run_ts)
 
 
 def record_ses_responses(
-    ledger: Ledger, log: DataFrame, configuration_set_name: str, run_ts: dt.datetime
+    ledger: Ledger,
+    log: DataFrame,
+    configuration_set_name: str,
+    mailing_name: str,
+    ds: dt.date | None,
+    run_ts: dt.datetime,
 ) -> None:
     outcomes = sending.classify_ses_responses(log, configuration_set_name)
-    _record(ledger, outcomes, schemas.PLACE, run_ts)
+    _record(ledger, outcomes, schemas.PLACE, mailing_name, ds, run_ts)
 
 
-def record_deferred_responses(ledger: Ledger, log: DataFrame, run_ts: dt.datetime) -> None:
-    _record(ledger, sending.classify_deferred_responses(log), schemas.DEFER, run_ts)
+def record_deferred_responses(
+    ledger: Ledger, log: DataFrame, mailing_name: str, ds: dt.date | None, run_ts: dt.datetime
+) -> None:
+    outcomes = sending.classify_deferred_responses(log)
+    _record(ledger, outcomes, schemas.DEFER, mailing_name, ds, run_ts)
 
 
 def forecast(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muster.functions import dates, text
 from muster.functions import responses as answers
@@ -136,27 +138,49 @@ def overridden(batch: DataFrame, override: Sequence[str]) -> DataFrame:
 NUMBERS = ("position", "batch", "batch_index")
 
 
+def _json_value(value: Column, kind: T.DataType) -> Column:
+    """A value as JSON: numbers and truths bare, anything empty as ``""``."""
+    blank = text.blank_if_falsy(value, kind)
+    bare = isinstance(kind, (T.NumericType, T.BooleanType))
+    if isinstance(kind, T.DecimalType):
+        value = value.cast("double")  # a JSON number has no scale
+    member = F.to_json(F.struct((value if bare else blank).alias("v")))
+    written = F.substring(member, F.lit(len('{"v":') + 1), F.length(member) - len('{"v":}'))
+    return F.when(blank == "", F.lit('""')).otherwise(written)
+
+
 def _requests(batch: DataFrame, override: Sequence[str]) -> DataFrame:
-    """Numbers, original address, ``destination`` and the massaged payload in ``p``.
+    """Numbers, original address, ``destination`` and the members of the payload in ``p``.
 
-    The payload names the address the mail really goes to.
+    The payload names the address the mail really goes to, and keeps the types
+    of its values.
     """
-    fields = [name for name in batch.columns if name not in NUMBERS]
     routed = overridden(batch, override)
-    massaged = massage(routed, (*NUMBERS, "destination"))
-    values = [F.col("destination" if f == "email" else f).alias(f) for f in fields]
-    return massaged.select(
+    if {"firstname", "lastname"} <= set(batch.columns):
+        first, last = text.repair_names(F.col("firstname"), F.col("lastname"))
+        routed = routed.withColumns({"firstname": first, "lastname": last})
+    members = [
+        F.concat(
+            F.lit(f"{json.dumps(field.name)}:"),
+            _json_value(F.col("destination" if field.name == "email" else field.name), field.dataType),
+        )
+        for field in batch.schema
+        if field.name not in NUMBERS
+    ]
+    return routed.select(
         *NUMBERS,
         F.col("email").alias("original_email"),
         "destination",
         "mailing_name",
-        F.struct(*values).alias("p"),
+        F.concat_ws(",", *members).alias("p"),
     )
 
 
 def _payload_json(prefix: Column | None) -> Column:
-    payload = F.col("p") if prefix is None else F.col("p").withField("subject_prefix", prefix)
-    return F.to_json(payload)
+    members = [F.col("p")]
+    if prefix is not None:
+        members.append(F.concat(F.lit('"subject_prefix":'), _json_value(prefix, T.StringType())))
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
 def outbound_requests(
@@ -249,7 +273,8 @@ def _received_ids(body: Column) -> tuple[Column, Column]:
 def classify_send_responses(log: DataFrame) -> DataFrame:
     """Outcome of each answer to a send request; the first rule that fits counts.
 
-    An accepted request whose answer names no task stays at its placeholder:
+    An accepted request whose answer names no task stays at its placeholder,
+    and so does one whose answer is JSON that says something but lacks an id:
     it may have been sent, so it must not become pending again.
     """
     status, body = F.col("status"), F.coalesce("body", F.lit(""))
@@ -263,6 +288,7 @@ def classify_send_responses(log: DataFrame) -> DataFrame:
         .when(accepted, _ids(F.lit(schemas.DEFER), F.lit(schemas.DEFER), task))
         .when(status == 503, _code(schemas.ERROR))
         .when(have_ids, ids)
+        .when(answers.says_something(body), _code(schemas.PLACE))
         .otherwise(_code(schemas.ERROR))
     )
     return log.select(*schemas.KEYS, outcome.alias("outcome")).select(*schemas.KEYS, "outcome.*")

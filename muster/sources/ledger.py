@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from muster.operators.keyed import latest_state, upsert
 from muster.sources import schemas
+from muster.sources.scratch import cut
 
 LAYOUT = ("mailing_name", "ds")
 # What identifies a row to be replaced; two people may share an address.
@@ -82,19 +83,34 @@ class Ledger:
         """
         rows = rows.withColumn("seq", F.lit(sequence_number(run_ts)).cast("long"))
         rows = rows.select(*schemas.SEND_LOG.fieldNames())
+        # A few files a day and not one from every task; a rebalance splits crowded days.
+        rows = rows.hint("rebalance", *map(F.col, LAYOUT))
         self._write(rows.write.mode("append"), "send_log")
 
+    def compact_sends(self, mailing_name: str, ds: dt.date) -> None:
+        """Rewrite one day of the send log as its current states.
+
+        What ended in an error is no send and goes; ``sends`` stays the same.
+        The states are written elsewhere first, so that a run that dies leaves
+        the day as it was.
+        """
+        today = (F.col("mailing_name") == mailing_name) & (F.col("ds") == F.lit(ds))
+        latest = latest_state(self.send_log().where(today), SEND_KEYS, "seq")
+        failed = F.coalesce(F.col("mailing_recipient_id") == schemas.ERROR, F.lit(False))
+        self._replace_day("send_log", mailing_name, ds, cut(latest.where(~failed)))
+
     def _replace(
         self, table: str, mailing_name: str, ds: dt.date, kept: DataFrame, staged: DataFrame
     ) -> None:
-        """Rewrite the folder of one day.
+        """Rewrite the folder of one day."""
+        today = (F.col("mailing_name") == mailing_name) & (F.col("ds") == F.lit(ds))
+        self._replace_day(table, mailing_name, ds, upsert(kept.where(today), staged, REPLACE_KEYS))
 
-        Dynamic overwrite replaces exactly the folders it writes rows to.  A
+    def _replace_day(self, table: str, mailing_name: str, ds: dt.date, content: DataFrame) -> None:
+        """Dynamic overwrite replaces exactly the folders it writes rows to.  A
         row without an address is always among them, so that a day that has
         become empty is replaced as well; readers leave it out.
         """
-        today = (F.col("mailing_name") == mailing_name) & (F.col("ds") == F.lit(ds))
-        content = upsert(kept.where(today), staged, REPLACE_KEYS)
         marker = self.spark.range(1).select(
             *[
                 F.lit({"ds": ds, "mailing_name": mailing_name}.get(field.name))

@@ -95,6 +95,9 @@ def entity_sql(dialect: Dialect) -> dict[str, str]:
     invalid = responses.INVALID_TEXT
     delivered = responses.ALREADY_DELIVERED_TEXT
     limited = responses.RATE_LIMIT_TEXT
+    both_ids = (
+        """'{{"mailing_recipient_id": "r' || task || '", "mailing_send_id": "s' || task || '"}}'"""
+    )
     return {
         "zips": """
             SELECT lpad(CAST(n_nationkey AS STRING), 5, '0') AS zip,
@@ -232,19 +235,24 @@ def entity_sql(dialect: Dialect) -> dict[str, str]:
                    event_id AS secondary_id, 'event_alert' AS mailing_name,
                    't' || CAST(event_id AS STRING) AS task, event_id, value, props
             FROM {{events}}""",
+        # Every kind of answer, also JSON without ids, cut off, doubled and with more behind it.
         "send_responses": f"""
             SELECT ds, cons_id, email, secondary_id, mailing_name,
                    CAST(NULL AS STRING) AS deferred_task_id,
-                   CASE WHEN event_id % 7 IN (2, 6) THEN 202 WHEN event_id % 7 = 3 THEN 503
+                   CASE WHEN event_id % 12 IN (2, 6) THEN 202 WHEN event_id % 12 = 3 THEN 503
                         ELSE 200 END AS status,
-                   CASE event_id % 7
+                   CASE event_id % 12
                         WHEN 0 THEN '{unsubscribed} ' || email
                         WHEN 1 THEN 'Error: {invalid}'
                         WHEN 2 THEN '{{{{"deferred_task_id": "' || task || '"}}}}'
                         WHEN 3 THEN props
-                        WHEN 4 THEN '{{{{"mailing_recipient_id": "r' || task
-                             || '", "mailing_send_id": "s' || task || '"}}}}'
+                        WHEN 4 THEN {both_ids}
                         WHEN 5 THEN 'oops ' || CAST(value AS STRING)
+                        WHEN 7 THEN '{{{{"mailing_recipient_id": "r' || task || '"}}}}'
+                        WHEN 8 THEN '{{{{"mailing_recipient_id": null, "mailing_send_id": null}}}}'
+                        WHEN 9 THEN {both_ids} || ' trailing'
+                        WHEN 10 THEN {both_ids} || {both_ids}
+                        WHEN 11 THEN '{{{{"mailing_recipient_id": "r' || task
                         ELSE '' END AS body
             FROM {{messages}}""",
         "deferred_responses": f"""

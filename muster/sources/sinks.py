@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.operators.personalization import personalization_long, slugs
+from muster.operators.personalization import slugs
 
 
 def write_report(df: DataFrame, path: str, tab: str) -> bool:
@@ -25,16 +25,19 @@ def read_report(spark: SparkSession, path: str, tab: str, schema: str) -> DataFr
 def write_personalization(
     dataset: DataFrame, columns: Sequence[str], prefix: str, path: str
 ) -> None:
-    """One compressed two-column dataset per payload column, a folder for each."""
-    slugs(columns, prefix)
-    (
-        personalization_long(dataset, columns, prefix)
-        .write.mode("overwrite")
-        .partitionBy("slug")
-        .option("header", True)
-        .option("compression", "gzip")
-        .csv(path)
-    )
+    """One compressed dataset per payload column, a folder for each: the
+    identity and the column, under their own names."""
+    named = slugs(columns, prefix)
+    identity = next(name for name in dataset.columns if name not in columns)
+    for column, slug in named.items():
+        writer = dataset.select(identity, column).write.mode("overwrite")
+        writer.option("header", True).option("compression", "gzip").csv(f"{path}/{slug}")
+
+
+def read_personalization(spark: SparkSession, path: str, slug: str, schema: str) -> DataFrame:
+    """One of the datasets; its header must name the schema's columns."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.csv(f"{path}/{slug}")
 
 
 def write_recipient_group(df: DataFrame, path: str) -> None:
@@ -49,4 +52,9 @@ def read_group(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_identity_map(df: DataFrame, path: str) -> None:
+    """Pairs of ids, for the service to know people by the mailing's own id."""
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_identity_map(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return read_report(spark, path, "", schema)

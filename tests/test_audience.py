@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 
 import pytest
 
@@ -67,8 +68,9 @@ def test_long_slug_is_refused_before_any_write(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.write_personalization(frame, ["c" * 26], "long", str(tmp_path / "bad"))
     assert not (tmp_path / "bad").exists()
-    files = list((tmp_path / "ok").glob("slug=*/*.csv.gz"))
-    assert len(files) == 1 and files[0].parent.name == "slug=pre_" + "c" * 26
+    files = list((tmp_path / "ok").glob("*/*.csv.gz"))
+    assert len(files) == 1 and files[0].parent.name == "pre_" + "c" * 26
+    assert gzip.open(files[0], "rt").readline() == f"cons_id_m,{'c' * 26}\n"
 
 
 def test_long_form(spark):

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import urllib.parse
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -196,6 +197,30 @@ def test_requests_and_copies(spark):
     assert "subject_prefix" not in urllib.parse.unquote(plain.trigger_values) and plain.email == "a@x.org"
 
 
+def test_payload_values_keep_their_types(spark):
+    frame = table(spark, "INVITE_PAYLOAD", dict(KEY, cons_id=12, email="a@x.org", distance_to_event=Decimal("2.50"),
+                                              event_title='say "é"\n'))
+    frame = frame.withColumns({"t": F.lit(True), "f": F.lit(False), "n": F.lit(float("nan")),
+                               "scheduled_at": F.lit(None).cast("timestamp_ntz")})
+    made = sending.outbound_requests(sending.send_batches(frame, 10), "M").first()
+    payload = json.loads(urllib.parse.unquote(made.trigger_values))
+    assert (payload["cons_id"], payload["distance_to_event"], payload["t"]) == (12, 2.5, True)
+    assert (payload["f"], payload["n"], payload["event_title"]) == ("", "", 'say "é"\n')
+
+
+@pytest.mark.parametrize("body, recipient, send", [
+    ('{"mailing_recipient_id":"r"}', "PLACE", "PLACE"),
+    ('{"mailing_recipient_id":null,"mailing_send_id":null}', "PLACE", "PLACE"),
+    ('{"x":1}', "PLACE", "PLACE"), ("[1]", "PLACE", "PLACE"),
+    ("{}", "ERROR", "ERROR"), ("[]", "ERROR", "ERROR"), ("null", "ERROR", "ERROR"), ("", "ERROR", "ERROR"),
+    (BOTH + " trailing", "ERROR", "ERROR"), (BOTH + BOTH, "ERROR", "ERROR"), (BOTH[:-1], "ERROR", "ERROR"),
+    (" " + BOTH + "\n", "r1", "s1"), (None, "ERROR", "ERROR"),
+])
+def test_unclear_answers_never_send_twice(spark, body, recipient, send):
+    log = table(spark, "RESPONSES", dict(KEY, email="a@x.org", status=200, body=body))
+    assert rows(sending.classify_send_responses(log), *IDS[:2]) == [(recipient, send)]
+
+
 def test_templated_requests(spark):
     row = sending.template_requests(request_batch(spark), "f@x", "r@x", "set", ["o@x"]).first()
     assert json.loads(row.template_data)["subject_prefix"] == "[ override o@x orig a@x.org ]"
@@ -265,7 +290,7 @@ def test_sending_through_the_ledger(spark, tmp_path):
     log = table(spark, "RESPONSES", *[
         dict(KEY, cons_id=i, email=f"p{i}@x.org", status=s, body=b) for i, (s, b) in enumerate(
             [(202, '{"deferred_task_id":"t0"}'), (503, ""), (200, BOTH)])])
-    jobs.record_send_responses(ledger, log, RUN_TS + dt.timedelta(hours=1))
+    jobs.record_send_responses(ledger, log, "event_invite", DS, RUN_TS + dt.timedelta(hours=1))
     codes = {r.cons_id: r.mailing_recipient_id for r in ledger.sends().collect()}
     assert codes == {0: "DEFER", 2: "r1", 3: "PLACE"}
 
@@ -273,7 +298,24 @@ def test_sending_through_the_ledger(spark, tmp_path):
     assert rows(waiting, "cons_id", "deferred_task_id") == [(0, "t0")]
     late = table(spark, "RESPONSES", dict(KEY, cons_id=0, email="p0@x.org", deferred_task_id="t0",
                                          status=200, body="oops"))
-    jobs.record_deferred_responses(ledger, late, RUN_TS + dt.timedelta(hours=2))
+    jobs.record_deferred_responses(ledger, late, "event_invite", DS, RUN_TS + dt.timedelta(hours=2))
     assert rows(run(3), "cons_id") == [(0,), (1,), (4,), (5,)]
     assert run(4).count() == 0
     assert rows(ledger.sends(), "cons_id", "mailing_id") == [(i, "M") for i in range(6)]
+
+    before = rows(ledger.sends())
+    ledger.compact_sends("event_invite", DS)
+    ledger.compact_sends("event_invite", DS + dt.timedelta(days=1))
+    assert rows(ledger.sends()) == before
+    assert ledger.send_log().count() == len(before)
+
+
+def test_answers_of_a_day_read_one_folder(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path)).init("event_invite")
+    placed = sending.placeholder_sends(invite(spark, dict(cons_id=1))[0], "M", DS, RUN_TS)
+    ledger.append_sends(placed, RUN_TS)
+    sends = sending.of_mailing(ledger.sends(), "event_invite", DS)
+    plan = plan_of(sends)
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    filters = filters.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "event_invite" in filters and str(DS) in filters
