@@ -160,7 +160,7 @@ def nearby_pairs(t, _spark):
 
 def nearby_pairs_grid(t, _spark):
     """The same pairs by the join meant for more events than can be broadcast."""
-    return _pairs(t, max_broadcast_venues=0)
+    return _pairs(t, max_broadcast_bytes=0)
 
 
 def _roomy_pairs(t):

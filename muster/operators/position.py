@@ -39,7 +39,7 @@ def with_position(rows: DataFrame, order: Sequence[Column], partitions: int | No
     offset_of = spark.createDataFrame(offsets, "_part BIGINT, _before BIGINT")
     return (
         ordered.withColumn("_part", part)
-        .join(F.broadcast(offset_of), "_part")  # at most n rows
+        .join(F.broadcast(offset_of), "_part")  # one row per partition
         .withColumn("position", F.col("_before") + place)
         .drop("_part", "_before", "_slot")
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from muster.config import MailingConfig
 from muster.functions import dates
 from muster.plans.people import in_states
+from muster.sources.scratch import cut
 
 # Weights in the score of an event.
 WEEKEND_WEIGHT = 2
@@ -20,6 +21,8 @@ LIST_SEPARATOR = "|"
 AND_SEPARATOR = " and "
 TIME_PREFIX = " at "
 SLOTS_WITHOUT_TIMES = 3
+# Ids of slots that are broadcast, about 50 MB as a hash table.
+MAX_BROADCAST_SLOTS = 1_000_000
 
 
 def rsvp_counts(participations: DataFrame) -> DataFrame:
@@ -31,6 +34,16 @@ def rsvp_counts(participations: DataFrame) -> DataFrame:
     )
 
 
+def _of_slots(participations: DataFrame, slots: DataFrame) -> DataFrame:
+    """Participations in the slots, so that the RSVPs of all other days aren't
+    counted and moved; without the filter beyond so many slots, when counting
+    before moving is cheaper than moving to filter."""
+    wanted = cut(slots.select(F.col("id").alias("timeslot_id")))
+    if wanted.count() > MAX_BROADCAST_SLOTS:
+        return participations
+    return participations.join(F.broadcast(wanted), "timeslot_id", "left_semi")
+
+
 def next_timeslots(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Next timeslot of each event in the showcase days, and texts on all of them.
 
@@ -48,7 +61,7 @@ def next_timeslots(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> DataF
     )
     # RSVPs are counted before they move and meet slots while those are narrow;
     # from the join with the events on, everything stays partitioned by event.
-    rsvps = rsvp_counts(tables["participations"]).withColumnRenamed("timeslot_id", "id")
+    rsvps = rsvp_counts(_of_slots(tables["participations"], upcoming)).withColumnRenamed("timeslot_id", "id")
     zones = tables["org_events"].select(F.col("id").alias("event_id"), "timezone")
     slots = upcoming.join(rsvps, "id", "left").join(zones, "event_id")
     slot = F.col("first_slot")

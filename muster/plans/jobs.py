@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from muster.plans import reporting, sending
 from muster.sources import schemas, sinks
 from muster.sources.ledger import Ledger
-from muster.sources.scratch import cut
+from muster.sources.scratch import cut, intermediate
 
 SUMMARY_ALL_TIME_TAB = "Summary All-Time"
 SUMMARY_BY_WEEK_TAB = "Summary By Week"
@@ -54,7 +54,8 @@ def _record(
     read one day's folder.
     """
     sends, met = (sending.of_mailing(rows, mailing_name, ds) for rows in (ledger.sends(), outcomes))
-    ledger.append_sends(cut(sending.resolved_sends(sends, met, awaiting, run_ts)), run_ts)
+    with intermediate(ledger.spark):
+        ledger.append_sends(cut(sending.resolved_sends(sends, met, awaiting, run_ts)), run_ts)
 
 
 def record_send_responses(

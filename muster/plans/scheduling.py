@@ -17,7 +17,7 @@ from muster.plans.matching import best_events
 from muster.plans.people import build_constituents
 from muster.sources import schemas
 from muster.sources.ledger import Ledger
-from muster.sources.scratch import cut
+from muster.sources.scratch import cut, intermediate
 
 
 def reset_schedulings(
@@ -129,9 +129,11 @@ def schedule_horizon(
     Each day sees what the days before it scheduled, so they run in order; the
     people are put together once for all of them.
     """
-    people = cut(build_constituents(cfg, tables))
-    for day in _days(cfg, days):
-        schedule_invites(tables, ledger, day, run_ts, people)
+    with intermediate(ledger.spark):
+        people = cut(build_constituents(cfg, tables))
+        for day in _days(cfg, days):
+            with intermediate(ledger.spark):
+                schedule_invites(tables, ledger, day, run_ts, people)
 
 
 def plan_horizon(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from muster.operators.keyed import latest_state, upsert
 from muster.sources import schemas
-from muster.sources.scratch import cut
+from muster.sources.scratch import cut, intermediate
 
 LAYOUT = ("mailing_name", "ds")
 # What identifies a row to be replaced; two people may share an address.
@@ -97,7 +97,8 @@ class Ledger:
         today = (F.col("mailing_name") == mailing_name) & (F.col("ds") == F.lit(ds))
         latest = latest_state(self.send_log().where(today), SEND_KEYS, "seq")
         failed = F.coalesce(F.col("mailing_recipient_id") == schemas.ERROR, F.lit(False))
-        self._replace_day("send_log", mailing_name, ds, cut(latest.where(~failed)))
+        with intermediate(self.spark):
+            self._replace_day("send_log", mailing_name, ds, cut(latest.where(~failed)))
 
     def _replace(
         self, table: str, mailing_name: str, ds: dt.date, kept: DataFrame, staged: DataFrame

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,28 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was cut inside.
+
+    For jobs that end with a write: frames that outlive the block must not
+    rest on anything cut in it.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _open.pop():
+            path = hadoop.Path(folder)
+            path.getFileSystem(settings).delete(path, True)
+
+
+# Folders cut in each open ``intermediate`` block.
+_open: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
@@ -39,5 +63,7 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, "cut")
+    if _open:
+        _open[-1].append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -58,7 +58,7 @@ def test_joins_equal_brute_force(spark, place, radius):
     want = sorted((p[0], v[0]) for p in people for v in venues
                   if p[2] is not None and p[1] == v[1] and miles(p[2:], v[2:]) < radius)
     assert want
-    for options in ({}, dict(max_broadcast_venues=0), dict(max_broadcast_venues=0, pairs_per_task=5)):
+    for options in ({}, dict(max_broadcast_bytes=0), dict(max_broadcast_bytes=0, pairs_per_task=5)):
         got = within_radius(left, right, radius, **options)
         assert sorted(map(tuple, got.select("cons_id", "event_id").collect())) == want, options
 
@@ -87,7 +87,7 @@ def test_places_give_the_same_best_events_as_pairs(spark, sample):
     for r in by_pairs.select("cons_id", "event_id", "score_event_cons").collect():
         key = (-r.score_event_cons, r.event_id)
         best[r.cons_id] = min(best.get(r.cons_id, key), key)
-    for options in ({}, dict(max_broadcast_venues=0)):
+    for options in ({}, dict(max_broadcast_bytes=0)):
         got = matching.best_events(people, events, INVITE, **options)
         assert {r.cons_id: r.event_id for r in got.select("cons_id", "event_id").collect()} == {
             person: event for person, (_, event) in best.items()}
@@ -139,6 +139,7 @@ def test_plans(spark, sample):
     pairs = matching.nearby_pairs(
         build_constituents(INVITE, sample), score_events(event_features(INVITE, sample)), 25.0)
     for plan in (plan_of(pairs), plan_of(best)):
+        assert "REPARTITION_BY_NUM" not in plan
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
