@@ -7,12 +7,16 @@
    bands of five registers, two sets of similarity 0.75 share no bucket with a
    probability of a millionth.
 3. Only buckets with several classes go on.  In a few rounds, each class is
-   compared with one centre of its buckets, the one it shares most buckets with
-   among those of other components so far; components grow by what is found.
-   This is linear in the bucket's size.
-4. In buckets that still hold several components, all pairs of classes from
-   different ones are compared, each pair once: no link that could change a
-   component is left out.
+   compared with one centre of its buckets: every bucket offers the member with
+   most bucket mates and the one with most among the other components, and the
+   class takes the one it shares most buckets with.  Components grow by what is
+   found.  This is linear in the buckets' sizes, and enough for nearly all links:
+   of near copies of one text, those nearest to it have most mates.
+4. Classes whose buckets still hold several components are joined exactly, by
+   prefix and position filters: similar sets must share one of their rarest
+   shingles, early enough that what follows can still make up the overlap.  So
+   documents that have a common passage, but too little else, don't meet there.
+   No pair of different components that shares a bucket is left untested.
 5. Of a proposed pair, sizes must allow the similarity; the registers' joint
    likelihood must not rule it out; then the full sets are intersected.
 
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.llm.components import connected_components
@@ -38,7 +42,7 @@ from muster.llm.shingles import mixed, shingle_set
 from muster.sources.scratch import cut
 
 PERCENT = 75
-ROUNDS = 3
+ROUNDS = 2
 SMALL_ROWS = 1_000_000  # of ids or bucket keys, about 50 MB as a hash table
 _BATCH_HASHES = 1 << 18
 
@@ -138,7 +142,7 @@ def near_duplicates(
     sets = cut(
         _full_sets(_matching(texts, chosen.withColumnRenamed("id", "doc_id"), "doc_id"))
         .join(classes.select("id", "print"), ["id", "print"], "left_semi")
-        .drop("print")
+        .dropDuplicates(["id", "print"])
     )
     links = _links(members, sets, percent)
     components = connected_components(links)
@@ -170,51 +174,78 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     spark = members.sparkSession
     links = spark.createDataFrame([], "a BIGINT, b BIGINT")
     tested = links
-    components = connected_components(links)
+    components = links.withColumnsRenamed({"a": "id", "b": "component"})
     for round_ in range(ROUNDS + 1):
-        placed = members.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed_ = placed.groupBy("bucket").agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64("id", F.lit(round_)).alias("rank"), "id", "n", "component")).alias("centre"),
-        )
-        mixed_ = cut(mixed_.where("low <> high").select("bucket", "centre"))
-        open_ = cut(_matching(placed, mixed_, "bucket"))
-        pairs = _with_centres(open_, percent) if round_ < ROUNDS else _across(open_, percent)
+        open_ = _open(members, components)
+        pairs = _with_centres(open_, percent) if round_ < ROUNDS else _across(open_, sets, percent)
         pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
-            if round_ < ROUNDS and not open_.isEmpty():
-                continue  # all centres were tested before
-            break
+            continue
         found = cut(_confirmed(pairs, sets, percent))
-        tested = tested.unionByName(pairs.select("a", "b"))
-        links = cut(links.unionByName(found))
-        components = cut(connected_components(links))
+        tested = tested.unionByName(pairs)
+        if not found.isEmpty():
+            links = cut(links.unionByName(found))
+            components = cut(connected_components(links))
     return links
 
 
+def _open(members: DataFrame, components: DataFrame) -> DataFrame:
+    """(bucket, id, n, component, mates) of the buckets that hold several components."""
+    placed = members.join(components, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed_ = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
+    )
+    mixed_ = cut(mixed_.where("low <> high").select("bucket", "size"))
+    rows = cut(_matching(placed, mixed_, "bucket"))
+    return cut(rows.join(rows.groupBy("id").agg(F.sum("size").alias("mates")), "id").drop("size"))
+
+
 def _with_centres(open_: DataFrame, percent: int) -> DataFrame:
     """For each class, the centre of another component that it shares most buckets with."""
-    centre = F.col("centre")
-    proposed = open_.where(
-        (F.col("component") != centre["component"]) & _sizes_allow(F.col("n"), centre["n"], percent)
+    member = F.struct("mates", "id", "n", "component")
+    first = cut(open_.groupBy("bucket").agg(F.max(member).alias("centre")))
+    others = open_.join(first, "bucket").where(F.col("component") != F.col("centre.component"))
+    second = others.groupBy("bucket").agg(F.max(member).alias("centre"))
+    centres = first.unionByName(second).select("bucket", *(F.col(f"centre.{c}").alias(f"c_{c}") for c in ("id", "n", "component")))
+    proposed = open_.join(centres, "bucket").where(
+        (F.col("component") != F.col("c_component")) & _sizes_allow(F.col("n"), F.col("c_n"), percent)
     )
-    counted = proposed.groupBy("id", centre["id"].alias("other")).count()
+    counted = proposed.groupBy("id", F.col("c_id").alias("other")).count()
     best = counted.groupBy("id").agg(F.max(F.struct("count", "other")).alias("best"))
     return _ordered(best.select("id", F.col("best.other").alias("other")))
 
 
-def _across(open_: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes of different components that share a bucket."""
-    held = open_.select("bucket", "component").distinct()
-    one, other = (held.select("bucket", F.col("component").alias(c)) for c in ("one", "two"))
-    couples = one.join(other, "bucket").where("one < two")
-    sides = [
-        open_.select("bucket", F.col("component").alias(c), F.col("id").alias(i), F.col("n").alias(n))
-        for c, i, n in (("one", "id", "n"), ("two", "other", "n_other"))
-    ]
-    pairs = couples.join(sides[0], ["bucket", "one"]).join(sides[1], ["bucket", "two"])
-    return _ordered(pairs.where(_sizes_allow(F.col("n"), F.col("n_other"), percent)))
+def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components that may be similar enough, none left out.
+
+    With the shingles of every set in one order, from the rarest, the smaller
+    of two similar sets has their first common one within its first
+    n - 2tn / (1 + t) + 1, and the larger within its first n - tn + 1; and what
+    comes after it in both must make up the overlap.
+    """
+    ids = cut(open_.select("id", "component").distinct())
+    shingles = cut(
+        sets.join(ids, "id").select("id", "print", "n", "component", F.explode("shingles").alias("shingle"))
+    )
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
+    # Those that one set alone holds come first, and are only counted.
+    kept = shingles.join(common, "shingle")
+    place = F.row_number().over(Window.partitionBy("id", "print").orderBy("held", "shingle"))
+    size = F.count("*").over(Window.partitionBy("id", "print"))
+    ranked = kept.withColumn("place", place + F.col("n") - size)
+    n = F.col("n")
+    longer = ranked.where(F.col("place") <= n - F.ceil(n * percent / 100) + 1)
+    longer = cut(longer.select("shingle", "id", "n", "component", "place"))
+    shorter = longer.where(F.col("place") <= n - F.ceil(n * 2 * percent / (100 + percent)) + 1)
+    shorter = shorter.withColumnsRenamed({"id": "other", "n": "m", "component": "apart", "place": "at"})
+    overlap = F.ceil((F.col("n") + F.col("m")) * percent / (100 + percent))
+    possible = (
+        (F.struct("m", "other") < F.struct("n", "id"))
+        & (F.col("component") != F.col("apart"))
+        & _sizes_allow(F.col("n"), F.col("m"), percent)
+        & (1 + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) >= overlap)
+    )
+    return _ordered(longer.join(shorter, "shingle").where(possible))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

@@ -33,8 +33,9 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     spread = mixed(hashes ^ _STEP)
     first, step = spread & np.uint64(m - 1), (spread >> np.uint64(32)) | np.uint64(1)
     value = np.zeros(len(hashes))
+    offsets = np.arange(1, m + 1, dtype=np.uint64) * _STEP
     for j in range(m):
-        drawn = mixed(hashes + np.uint64(j + 1) * _STEP)
+        drawn = mixed(hashes + offsets[j])
         uniform = ((drawn >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
         value -= np.log(uniform) / (RATE * (m - j))
         # An odd step visits every register once.

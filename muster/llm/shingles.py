@@ -47,6 +47,6 @@ def shingle_set(text: bytes, size: int = WORDS) -> np.ndarray:
     if not len(words):
         return words
     if len(words) < size:
-        short = np.sum(words * odd_numbers(len(words), 1), dtype=np.uint64) + np.uint64(len(words)) * _GOLDEN
-        return mixed(np.array([short], dtype=np.uint64))
+        short = np.sum(words * odd_numbers(len(words), 1), dtype=np.uint64, keepdims=True)
+        return mixed(short + _GOLDEN * np.full(1, len(words), dtype=np.uint64))
     return np.unique(sequence_hashes(words, size))
