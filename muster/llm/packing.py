@@ -28,7 +28,6 @@ import os
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -37,12 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from muster.llm.frames import id_and_text, utf8
-from muster.llm.pretokens import Memory, pieces
+from muster.llm.pretokens import Memory, words_of
 
 TOKENIZER = "byte_bpe_50k.json"
 WINDOW = 2048
 END_ID = 1
-CLASS = 16
+CLASS = 32
 BLOCK_TOKENS = 1 << 22
 _SEQUENCE_BITS = 40
 
@@ -50,32 +49,35 @@ _SEQUENCE_BITS = 40
 Piece = tuple[int, int, int, int, int]
 
 
-def nnls(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """min |matrix x - target| over x >= 0, by the active-set method of Lawson and Hanson."""
+def nnls(matrix: np.ndarray, target: np.ndarray, close: float = 1e-8) -> np.ndarray:
+    """min |matrix x - target| over x >= 0, by the active-set method of Lawson and Hanson
+    on the normal equations; ends early where no residual exceeds ``close``."""
     n = matrix.shape[1]
+    gram, aim = matrix.T @ matrix, matrix.T @ target
+    gram[np.diag_indices(n)] += 1e-9  # columns may depend on each other
     x, free = np.zeros(n), np.zeros(n, dtype=bool)
-    tolerance = 1e-9 * max(1.0, float(np.abs(target).max(initial=0.0)))
+    tolerance = 1e-8 * max(1.0, float(np.abs(aim).max(initial=0.0)))
     for _ in range(3 * n):
-        slope = matrix.T @ (target - matrix @ x)
+        if np.abs(matrix @ x - target).max(initial=0.0) <= close:
+            break
+        slope = aim - gram @ x
         slope[free] = -np.inf
         best = int(np.argmax(slope))
         if slope[best] <= tolerance:
             break
         free[best] = True
-        while True:
+        while free.any():
+            chosen = np.flatnonzero(free)
             trial = np.zeros(n)
-            trial[free] = np.linalg.lstsq(matrix[:, free], target, rcond=None)[0]
-            below = free & (trial <= 0)
-            if not below.any():
+            trial[chosen] = np.linalg.solve(gram[np.ix_(chosen, chosen)], aim[chosen])
+            below = chosen[trial[chosen] <= 0]
+            if not len(below):
+                x = trial
                 break
             step = np.min(x[below] / np.maximum(x[below] - trial[below], 1e-300))
             x += step * (trial - x)
-            free &= x > 1e-12
+            free[below[x[below] <= 1e-10]] = False
             x[~free] = 0.0
-            if not free.any():
-                trial = x
-                break
-        x = trial
     return x
 
 
@@ -106,7 +108,7 @@ def _combined(lengths: list[int], window: int) -> tuple[list[list[int]], list[in
         for j, shape in enumerate(shapes):
             for c in shape:
                 matrix[c - 1, j] += 1
-        repeats = np.floor(nnls(matrix, counts) + 1e-6).astype(int)
+        repeats = np.floor(nnls(matrix, counts, close=0.5) + 1e-6).astype(int)
         for j in np.argsort(-repeats, kind="stable"):
             shape = shapes[j]
             for _ in range(repeats[j]):
@@ -172,19 +174,19 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a text's own "<|endoftext|>" is text
-        self.ids = Memory(self._encode)
+        self.words = Memory(self._encode_words)
 
-    def _encode(self, words: list[str]) -> Iterator[bytes]:
+    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
         for start in range(0, len(words), 20_000):
             part = words[start : start + 20_000]
-            for found in self.tokenizer.encode_batch_fast(part, add_special_tokens=False):
-                yield np.array(found.ids, dtype="<u4").tobytes()
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(part)))).tolist()
+            for first, end in zip([0, *ends], ends):
+                yield ids[first:end]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [pieces(t) for t in texts]
-        ids = self.ids.know(chain.from_iterable(cut))
-        for own in cut:
-            yield b"".join([ids[p] for p in own])
+        return map(b"".join, self.words.values([words_of(t) for t in texts]))
 
 
 @lru_cache(maxsize=1)
