@@ -1,7 +1,7 @@
 """Connected components of links, by contraction.
 
 Each round, every vertex points to the neighbour (or itself) of least priority,
-by a hash that differs between rounds; pointers are followed a few steps, and
+by a hash that differs between rounds; pointers are followed once more, and
 links are rewritten to the vertices reached, without repeats and loops.  The
 number of vertices that still have links falls by a constant factor a round, so
 long chains take a logarithmic number of rounds.  A vertex with very many links
@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from muster.sources.scratch import cut
 
-_JUMPS = 2
-
-
 def connected_components(links: DataFrame) -> DataFrame:
     """(id, component): for each vertex of the links (a, b), the smallest vertex it is linked to.
 
@@ -34,9 +31,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     while not rest.isEmpty():
         round_ += 1
         pointers = _pointers(rest, round_)
-        for _ in range(_JUMPS):
-            onward = pointers.select(F.col("id").alias("to"), F.col("to").alias("next"))
-            pointers = cut(pointers.join(onward, "to").select("id", F.col("next").alias("to")))
+        onward = pointers.select(F.col("id").alias("to"), F.col("to").alias("next"))
+        pointers = cut(pointers.join(onward, "to").select("id", F.col("next").alias("to")))
         members = cut(
             members.join(pointers.withColumnRenamed("id", "root"), "root", "left")
             .select("id", F.coalesce("to", "root").alias("root"))

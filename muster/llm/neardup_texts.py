@@ -6,12 +6,11 @@
 2. Each class has a SetSketch; bands of its registers are buckets.  With 51
    bands of five registers, two sets of similarity 0.75 share no bucket with a
    probability of a millionth.
-3. Only buckets with several classes go on.  In a few rounds, each class is
-   compared with one centre of its buckets: every bucket offers the member with
-   most bucket mates and the one with most among the other components, and the
-   class takes the one it shares most buckets with.  Components grow by what is
-   found.  This is linear in the buckets' sizes, and enough for nearly all links:
-   of near copies of one text, those nearest to it have most mates.
+3. Only buckets with several classes go on.  Each class is first compared with
+   up to ``CENTRES`` centres of its buckets: every bucket offers the two members
+   with most bucket mates, and the class takes those it shares most buckets with.
+   This is linear in the buckets' sizes, and enough for nearly all components: of
+   near copies of one text, those nearest to it have most mates.
 4. Classes whose buckets still hold several components are joined exactly, by
    prefix and position filters: similar sets must share one of their rarest
    shingles, early enough that what follows can still make up the overlap.  So
@@ -42,7 +41,7 @@ from muster.llm.shingles import mixed, shingle_set
 from muster.sources.scratch import cut
 
 PERCENT = 75
-ROUNDS = 2
+CENTRES = 4  # of each class, compared before the exact join
 SMALL_ROWS = 1_000_000  # of ids or bucket keys, about 50 MB as a hash table
 _BATCH_HASHES = 1 << 18
 
@@ -144,8 +143,7 @@ def near_duplicates(
         .join(classes.select("id", "print"), ["id", "print"], "left_semi")
         .dropDuplicates(["id", "print"])
     )
-    links = _links(members, sets, percent)
-    components = connected_components(links)
+    components = _components(members, sets, percent)
     carried = (
         classes.select("print", "n", "id")
         .join(components, "id", "left")
@@ -169,24 +167,20 @@ def near_duplicates(
     )
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect all classes that are connected by links within buckets."""
+def _components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, component) of the classes that have links."""
     spark = members.sparkSession
-    links = spark.createDataFrame([], "a BIGINT, b BIGINT")
-    tested = links
-    components = links.withColumnsRenamed({"a": "id", "b": "component"})
-    for round_ in range(ROUNDS + 1):
-        open_ = _open(members, components)
-        pairs = _with_centres(open_, percent) if round_ < ROUNDS else _across(open_, sets, percent)
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        found = cut(_confirmed(pairs, sets, percent))
-        tested = tested.unionByName(pairs)
-        if not found.isEmpty():
-            links = cut(links.unionByName(found))
-            components = cut(connected_components(links))
-    return links
+    components = spark.createDataFrame([], "id BIGINT, component BIGINT")
+    pairs = cut(_with_centres(_open(members, components), percent))
+    if pairs.isEmpty():
+        return components
+    links = cut(_confirmed(pairs, sets, percent))
+    components = cut(connected_components(links))
+    rest = cut(_across(_open(members, components), sets, percent).join(pairs, ["a", "b"], "left_anti"))
+    if rest.isEmpty():
+        return components
+    more = cut(_confirmed(rest, sets, percent))
+    return components if more.isEmpty() else cut(connected_components(links.unionByName(more)))
 
 
 def _open(members: DataFrame, components: DataFrame) -> DataFrame:
@@ -201,18 +195,21 @@ def _open(members: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def _with_centres(open_: DataFrame, percent: int) -> DataFrame:
-    """For each class, the centre of another component that it shares most buckets with."""
-    member = F.struct("mates", "id", "n", "component")
+    """For each class, the centres of its buckets that it shares most of them with."""
+    member = F.struct("mates", "id", "n")
     first = cut(open_.groupBy("bucket").agg(F.max(member).alias("centre")))
-    others = open_.join(first, "bucket").where(F.col("component") != F.col("centre.component"))
+    others = open_.join(first, "bucket").where(F.col("id") != F.col("centre.id"))
     second = others.groupBy("bucket").agg(F.max(member).alias("centre"))
-    centres = first.unionByName(second).select("bucket", *(F.col(f"centre.{c}").alias(f"c_{c}") for c in ("id", "n", "component")))
+    centres = first.unionByName(second).select(
+        "bucket", F.col("centre.id").alias("other"), F.col("centre.n").alias("m")
+    )
     proposed = open_.join(centres, "bucket").where(
-        (F.col("component") != F.col("c_component")) & _sizes_allow(F.col("n"), F.col("c_n"), percent)
+        (F.col("id") != F.col("other")) & _sizes_allow(F.col("n"), F.col("m"), percent)
     )
-    counted = proposed.groupBy("id", F.col("c_id").alias("other")).count()
-    best = counted.groupBy("id").agg(F.max(F.struct("count", "other")).alias("best"))
-    return _ordered(best.select("id", F.col("best.other").alias("other")))
+    counted = proposed.groupBy("id", "other").count()
+    order = Window.partitionBy("id").orderBy(F.desc("count"), "other")
+    best = counted.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= CENTRES)
+    return _ordered(best)
 
 
 def _across(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

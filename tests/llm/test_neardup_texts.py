@@ -69,10 +69,10 @@ def result(frame):
     return sorted(tuple(r) for r in got.collect())
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_equal_to_brute_force(spark, monkeypatch, rounds):
-    monkeypatch.setattr(dedup, "ROUNDS", rounds)
-    rows = corpus(rounds + 1)
+@pytest.mark.parametrize("centres", [1, 4])
+def test_equal_to_brute_force(spark, monkeypatch, centres):
+    monkeypatch.setattr(dedup, "CENTRES", centres)
+    rows = corpus(centres)
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id BIGINT, text STRING, kept INT").repartition(4)
     assert result(frame) == brute(rows)
 
