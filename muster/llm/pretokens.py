@@ -37,9 +37,11 @@ class Memory:
         unknown: dict = {}
         holes = []
         for group, values in zip(groups, found):
-            for at in [i for i, value in enumerate(values) if value is None]:
+            places = [i for i, value in enumerate(values) if value is None]
+            if places:
+                holes.append((group, values, places))
+            for at in places:
                 key = group[at]
-                holes.append((values, at, key))
                 if key in old:
                     young[key] = old[key]
                 else:
@@ -47,6 +49,7 @@ class Memory:
         if unknown:
             keys = list(unknown)
             young.update(zip(keys, self.find(keys), strict=True))
-        for values, at, key in holes:
-            values[at] = young[key]
+        for group, values, places in holes:
+            for at in places:
+                values[at] = young[group[at]]
         return found
