@@ -1,21 +1,19 @@
-"""Passages that repeat across documents, by a sparse suffix array.
+"""Passages that repeat across documents, by hashes of anchored windows.
 
 1. Equal texts are one class, carried by its smallest id; every other copy is a
    repeat as a whole.
-2. Of a text's words, only suffixes at minimisers are retained: of every window
-   of ``WINDOW`` runs of ``GRAM`` words, the run of least hash.  A window spans
-   ``MIN_WORDS`` words, so two passages of that length that are equal retain
-   the same place in both.
-3. Suffixes whose first ``GRAM`` words occur in one document only go no
-   further.  The others carry hashes of up to ``CONTEXT`` words on either side.
-4. They are sorted by those first words, what follows and what precedes, by
-   range over all tasks, so that a passage in a third of all documents is
-   spread as well.  Each is compared with the ``NEIGHBOURS`` before it and with
-   the smallest (document, place) of its run, left and right; so are the ends of
-   neighbouring tasks.  Where the common words make ``MIN_WORDS``, the larger
-   (document, place) of the two repeats the smaller one.
-5. Overlapping repeats of a document are merged.  Minimisers follow each other
-   within a window, so merged spans reach as far as the repeat does.
+2. A window is a run of ``MIN_WORDS`` words; its anchor is its minimiser, the
+   first of least hash of its ``WINDOW`` runs of ``GRAM`` words.  Equal windows
+   have the same anchor.  Only suffixes at anchors are retained.
+3. Anchors whose ``GRAM`` words occur in one document only go no further: no
+   window that they anchor is anywhere else.
+4. Of the others, every window gives a row with a 64-bit hash of its words.  The
+   least document of each hash is found by an aggregation, so that a passage in
+   a third of all documents, or often in one, is combined before it moves; hashes
+   of one document only are left out, and the rest is joined back.  A window that
+   a smaller id holds is a repeat.
+5. Overlapping repeats of a document are merged.  Their union is exact but for
+   equal hashes of different windows.
 
 The first occurrence of a passage is never marked, so cutting all marked spans
 loses no content.  Words are what stands between ASCII white space, A-Z in lower
@@ -30,8 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.llm.frames import free_name, id_and_text, utf8
@@ -41,10 +38,8 @@ from muster.sources.scratch import cut
 MIN_WORDS = 50
 GRAM = 10
 WINDOW = MIN_WORDS - GRAM + 1
-CONTEXT = MIN_WORDS - GRAM
-NEIGHBOURS = 4
 SMALL_BYTES = 32 << 20  # of a table that is broadcast
-_TASK_ROWS = 100_000  # suffixes sorted and compared in one task
+_TASK_ROWS = 1_000_000  # repeated windows sorted in one task
 
 
 def minimisers(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -85,167 +80,76 @@ def _retained(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "doc_id BIGINT, print STRING, n_words INT, at ARRAY<INT>, keys ARRAY<BIGINT>")
 
 
-def _suffixes(texts: DataFrame) -> DataFrame:
-    """(key, after, before, id, print, at): after and before as big-endian word hashes."""
+def _starts(grams: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Starts of the windows whose minimiser is one of ``places``."""
+    views = np.lib.stride_tricks.sliding_window_view(grams, WINDOW)
+    near = np.zeros(len(views) + 1, dtype=np.int64)
+    np.add.at(near, np.maximum(places - WINDOW + 1, 0), 1)
+    np.add.at(near, np.minimum(places + 1, len(views)), -1)
+    near = np.flatnonzero(np.cumsum(near[:-1]))
+    found = []
+    for start in range(0, len(near), 1 << 16):  # bounds the comparison's memory
+        part = near[start : start + (1 << 16)]
+        found.append(part[np.isin(part + views[part].argmin(axis=1), places)])
+    return np.concatenate(found) if found else near
+
+
+def _windows(texts: DataFrame) -> DataFrame:
+    """(window, id, tag, start): hashes of all ``MIN_WORDS`` words anchored at the given places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "after", "before", "id", "print", "at"]
-        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.string(), pa.int32()]
+        names = ["window", "id", "tag", "start"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
         for batch in batches:
             rows: list[list] = [[] for _ in names]
-            columns = (batch.column(n).to_pylist() for n in ("doc_id", "print", "places"))
-            for text, number, print_, places in zip(utf8(batch.column("text")), *columns):
+            held = 0
+            columns = (batch.column(n).to_pylist() for n in ("doc_id", "tag", "places"))
+            for text, number, tag, places in zip(utf8(batch.column("text")), *columns):
                 words = word_hashes(text)
-                grams = sequence_hashes(words, GRAM)
-                short = (words >> np.uint64(32)).astype(">u4")
-                ahead, back = short.tobytes(), short[::-1].tobytes()
-                for at in places:
-                    end, behind = at + GRAM, len(words) - at
-                    values = (
-                        int(grams[at].astype(np.int64)),
-                        ahead[4 * end : 4 * (end + CONTEXT)],
-                        back[4 * behind : 4 * (behind + CONTEXT)],
-                        number,
-                        print_,
-                        at,
-                    )
-                    for column, value in zip(rows, values):
-                        column.append(value)
-                if len(rows[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
-                    rows = [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
-
-    schema = "key BIGINT, after BINARY, before BINARY, id BIGINT, print STRING, at INT"
-    return texts.mapInArrow(run, schema)
-
-
-class _Suffixes:
-    """Sorted suffixes of one task as arrays."""
-
-    def __init__(self, table: pa.Table):
-        self.table = table
-        self.key = table.column("key").to_numpy()
-        self.id = table.column("id").to_numpy()
-        self.at = table.column("at").to_numpy()
-        self.sides = [self._words(table.column(c)) for c in ("before", "after")]
-
-    @staticmethod
-    def _words(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        blobs = column.to_pylist()
-        sizes = np.array([len(b) // 4 for b in blobs])
-        padded = b"".join(b.ljust(4 * CONTEXT, b"\0") for b in blobs)
-        return np.frombuffer(padded, dtype=np.uint32).reshape(-1, CONTEXT), sizes
-
-    def common(self, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How many words before and after the first ones are the same."""
-        result = []
-        for words, sizes in self.sides:
-            differs = words[one] != words[other]
-            first = np.where(differs.any(axis=1), differs.argmax(axis=1), CONTEXT)
-            result.append(np.minimum(first, np.minimum(sizes[one], sizes[other])))
-        return result[0], result[1]
-
-    def repeats(self, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """Which pairs of suffixes have enough in common, and what repeats what."""
-        near = np.flatnonzero((self.key[one] == self.key[other]) & (self.id[one] != self.id[other]))
-        before, after = self.common(one[near], other[near])
-        enough = before + GRAM + after >= MIN_WORDS
-        near, before, after = near[enough], before[enough], after[enough]
-        # Different ids, so the smaller id is the smaller (document, place).
-        later = np.where(self.id[one[near]] > self.id[other[near]], one[near], other[near])
-        earlier = one[near] + other[near] - later
-        return near, {
-            "row": later,
-            "start": self.at[later] - before,
-            "end": self.at[later] + GRAM + after,
-            "source": self.id[earlier],
-        }
-
-    def compare(self) -> Iterator[dict[str, np.ndarray]]:
-        n = len(self.key)
-        every = np.arange(n)
-        runs = np.ones(n, dtype=bool)
-        for step in range(1, min(NEIGHBOURS, n - 1) + 1):
-            near, found = self.repeats(every[:-step], every[step:])
-            if step == 1:
-                runs[near + 1] = False
-            yield found
-        run = np.cumsum(runs) - 1
-        if n:
-            order = np.lexsort((self.at, self.id, run))
-            least = order[np.searchsorted(run[order], np.arange(run[-1] + 1))]
-            self.least = least[run]
-            others = np.flatnonzero(self.least != every)
-            yield self.repeats(self.least[others], others)[1]
-
-    def ends(self) -> tuple[np.ndarray, np.ndarray]:
-        """Rows that the tasks before and after must see."""
-        n = len(self.key)
-        head, tail = np.arange(min(n, NEIGHBOURS)), np.arange(max(0, n - NEIGHBOURS), n)
-        return np.union1d(head, self.least[head]), np.union1d(tail, self.least[tail])
-
-
-_REPEAT = "part INT, side STRING, id BIGINT, print STRING, start INT, end INT, source BIGINT"
-_FOUND = f"{_REPEAT}, key BIGINT, after BINARY, before BINARY, at INT"
-_FOUND_TYPES = pa.schema(
-    [("part", pa.int32()), ("side", pa.string()), ("id", pa.int64()), ("print", pa.string()), ("start", pa.int32()),
-     ("end", pa.int32()), ("source", pa.int64()), ("key", pa.int64()), ("after", pa.binary()), ("before", pa.binary()),
-     ("at", pa.int32())]
-)
-
-
-def _found_batch(table: pa.Table, rows: np.ndarray, **columns) -> pa.RecordBatch:
-    chosen = table.take(pa.array(rows)).combine_chunks() if len(rows) else table.slice(0, 0)
-    arrays = []
-    for field in _FOUND_TYPES:
-        value = columns.get(field.name)
-        if isinstance(value, np.ndarray):
-            arrays.append(pa.array(value, field.type))
-        elif value is not None:
-            arrays.append(pa.array([value] * len(rows), field.type))
-        elif field.name in table.column_names and ("source" not in columns or field.name in ("id", "print")):
-            arrays.append(chosen.column(field.name).combine_chunks().cast(field.type) if len(rows) else pa.array([], field.type))
-        else:
-            arrays.append(pa.nulls(len(rows), field.type))
-    return pa.RecordBatch.from_arrays(arrays, schema=_FOUND_TYPES)
-
-
-def _compare_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    suffixes = _Suffixes(pa.Table.from_batches(parts))
-    part = TaskContext.get().partitionId()
-    for found in suffixes.compare():
-        row = found.pop("row")
-        yield _found_batch(suffixes.table, row, **found)
-    for side, rows in zip(("head", "tail"), suffixes.ends()):
-        yield _found_batch(suffixes.table, rows, part=part, side=side)
-
-
-def _compare_ends(table: pa.Table) -> pa.Table:
-    """All pairs of the few suffixes on either side of a border between tasks."""
-    suffixes = _Suffixes(table)
-    one, other = np.triu_indices(table.num_rows, k=1)
-    found = suffixes.repeats(one, other)[1]
-    chosen = table.take(pa.array(found["row"]))
-    arrays = [chosen.column("id"), chosen.column("print"), *(pa.array(found[c]) for c in ("start", "end", "source"))]
-    return pa.table(arrays, names=["id", "print", "start", "end", "source"]).cast(
-        pa.schema([("id", pa.int64()), ("print", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64())])
-    )
+                starts = _starts(sequence_hashes(words, GRAM), np.array(places, dtype=np.int64))
+                n = len(starts)
+                hashes = sequence_hashes(words, MIN_WORDS)[starts].view(np.int64)
+                for column, value in zip(rows, (hashes, np.full(n, number), np.full(n, tag), starts)):
+                    column.append(value)
+                held += n
+                if held > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(rows, types)], names=names)
+                    rows, held = [[] for _ in names], 0
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(rows, types)], names=names)
+
+    return texts.mapInArrow(run, "window BIGINT, id BIGINT, tag BIGINT, start INT")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that follow each other in a document as one span; what a batch cuts stays cut."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        number, tag, start, source = (batch.column(n).to_numpy() for n in ("id", "tag", "start", "source"))
+        same = (number[1:] == number[:-1]) & (tag[1:] == tag[:-1])
+        ahead = np.diff(start)
+        first = np.flatnonzero(np.concatenate([[True], ~(same & (ahead >= 0) & (ahead <= MIN_WORDS))]))
+        last = np.concatenate([first[1:], [len(start)]]) - 1
+        arrays = [number[first], tag[first], start[first], start[last] + np.int32(MIN_WORDS), np.minimum.reduceat(source, first)]
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["id", "tag", "start", "end", "source"])
 
 
 def _matching(rows: DataFrame, keys: DataFrame, on, n_bytes: int, how: str = "inner") -> DataFrame:
     return rows.join(F.broadcast(keys) if n_bytes <= SMALL_BYTES else keys, on, how)
 
 
+def _tag(print_: str | Column) -> Column:
+    """Tells the texts of one id apart, in eight bytes."""
+    return F.xxhash64(print_)
+
+
 def _printed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL").withColumn("print", F.md5("text"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, print, spans): for documents that repeat passages of others, the
+    """(doc_id, tag, spans): for documents that repeat passages of others, the
     spans of words [start, end) and the least document each is found in."""
     spark = docs.sparkSession
     texts = _printed(docs, id_col, text_col)
@@ -261,8 +165,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .join(classes.select("print", "n_words", "id"), ["print", "n_words"])
         .where("doc_id <> id")
         .select(
-            F.col("doc_id").alias("id"), "print", F.lit(0).alias("start"), F.col("n_words").alias("end"),
-            F.col("id").alias("source"),
+            F.col("doc_id").alias("id"), _tag("print").alias("tag"), F.lit(0).alias("start"),
+            F.col("n_words").alias("end"), F.col("id").alias("source"),
         )
         .distinct()
     )
@@ -281,43 +185,34 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .agg(F.sort_array(F.collect_list("at")).alias("places"))
     )
     size = kept.agg(F.sum(F.size("places")).alias("n"), F.count("*").alias("rows")).first()
-    n = size.n or 0
-    suffixes = _suffixes(_matching(texts, kept, ["doc_id", "print"], 4 * n + 100 * size.rows))
-    order = ["key", "after", "before", "id", "at"]
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // _TASK_ROWS))
-    in_order = suffixes.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
-    found = cut(in_order.mapInArrow(_compare_sorted, _FOUND))
-    spans = found.where("source IS NOT NULL").select("id", "print", "start", "end", "source")
-    everything = copies.unionByName(spans).unionByName(_between_tasks(found))
-    return _merged(everything)
-
-
-def _between_tasks(found: DataFrame) -> DataFrame:
-    ends = found.where("side IS NOT NULL")
-    parts = sorted(r.part for r in ends.select("part").distinct().collect())  # one row per task
-    borders = ends.sparkSession.createDataFrame(
-        [(p, "tail", i) for i, p in enumerate(parts)] + [(p, "head", i - 1) for i, p in enumerate(parts)],
-        "part INT, side STRING, border INT",
-    )
-    return (
-        ends.join(F.broadcast(borders), ["part", "side"])  # two rows per task
-        .select("border", "id", "print", "key", "after", "before", "at")
-        .groupBy("border")
-        .applyInArrow(_compare_ends, "id BIGINT, print STRING, start INT, end INT, source BIGINT")
+    chosen = _matching(texts, kept, ["doc_id", "print"], 4 * (size.n or 0) + 100 * size.rows)
+    windows = cut(_windows(chosen.withColumn("tag", _tag("print"))))
+    held = cut(
+        windows.groupBy("window")
+        .agg(F.min("id").alias("source"), F.max("id").alias("high"))
+        .where("source <> high")
+        .select("window", "source")
     )
+    n_bytes = 50 * held.count()
+    hits = _matching(windows, held, "window", n_bytes).where("id > source").select("id", "tag", "start", "source")
+    if n_bytes > SMALL_BYTES:  # a broadcast leaves them in the order of their documents
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-windows.count() // _TASK_ROWS))
+        hits = hits.repartition(tasks, "id", "tag").sortWithinPartitions("id", "tag", "start")
+    spans = hits.mapInArrow(_runs, "id BIGINT, tag BIGINT, start INT, end INT, source BIGINT")
+    return _merged(copies.unionByName(spans))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
     """Overlapping and adjoining spans of a document as one."""
     one = F.struct("start", "end", "source")
-    by_start = Window.partitionBy("id", "print").orderBy("start", "end", "source")
+    by_start = Window.partitionBy("id", "tag").orderBy("start", "end", "source")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.distinct().withColumn("fresh", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
     numbered = marked.withColumn("run", F.sum("fresh").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = numbered.groupBy("id", "print", "run").agg(
+    merged = numbered.groupBy("id", "tag", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("source").alias("source")
     )
-    return merged.groupBy(F.col("id").alias("doc_id"), "print").agg(F.sort_array(F.collect_list(one)).alias("spans"))
+    return merged.groupBy(F.col("id").alias("doc_id"), "tag").agg(F.sort_array(F.collect_list(one)).alias("spans"))
 
 
 def digest(repeated: DataFrame) -> DataFrame:
@@ -339,10 +234,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spans = cut(repeated_spans(docs, id_col, text_col))
     size = spans.agg(F.sum(F.size("spans")).alias("n"), F.count("*").alias("rows")).first()
-    found, number, print_ = (free_name(docs, n) for n in ("repeat_spans", "repeat_id", "repeat_print"))
-    spans = spans.select(F.col("doc_id").alias(number), F.col("print").alias(print_), F.col("spans").alias(found))
-    known = docs.withColumns({number: F.col(id_col).cast("bigint"), print_: F.md5(F.col(text_col))})
-    known = _matching(known, spans, [number, print_], 40 * (size.n or 0) + 100 * size.rows, "left")
+    found, number, tag = (free_name(docs, n) for n in ("repeat_spans", "repeat_id", "repeat_tag"))
+    spans = spans.select(F.col("doc_id").alias(number), F.col("tag").alias(tag), F.col("spans").alias(found))
+    known = docs.withColumns({number: F.col(id_col).cast("bigint"), tag: _tag(F.md5(F.col(text_col)))})
+    known = _matching(known, spans, [number, tag], 40 * (size.n or 0) + 100 * size.rows, "left")
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[^ \t-\r]+[ \t-\r]*"), 0)
     left = F.filter(
         words, lambda _, i: ~F.exists(F.col(found), lambda s: (i >= s["start"]) & (i < s["end"]))

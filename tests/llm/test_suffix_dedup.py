@@ -97,3 +97,19 @@ def test_minimisers_are_chosen_by_content():
     for a in range(500 - 6):
         assert a + int(np.argmin(values[a : a + 7])) in places
     assert len(dedup.minimisers(values[:5], 7)) == 0
+
+
+def test_frequent_line_with_differing_context(spark):
+    """Two documents share 25 words before a line that 300 others hold as well."""
+    rng = random.Random(4)
+    anchors = [0]
+    while min(anchors) < 25:  # all of them in the line
+        line, lead = spell(rng, 30), spell(rng, 25)
+        words = dedup.word_hashes(" ".join([*lead, *line]).encode())
+        anchors = dedup.minimisers(dedup.sequence_hashes(words, dedup.GRAM))
+    texts = {i: [*spell(rng, 25), *line, *spell(rng, 30)] for i in range(300)}
+    for i in rng.sample(range(300), 2):
+        texts[i][:25] = lead
+    got = marked(dedup.digest(dedup.repeated_spans(frame(spark, texts))).collect())
+    want = {i: m for i, m in covered(texts).items() if m}
+    assert [len(m) for m in want.values()] == [55] and got == want
