@@ -113,3 +113,15 @@ def test_frequent_line_with_differing_context(spark):
     got = marked(dedup.digest(dedup.repeated_spans(frame(spark, texts))).collect())
     want = {i: m for i, m in covered(texts).items() if m}
     assert [len(m) for m in want.values()] == [55] and got == want
+
+
+def test_passage_repeated_in_one_document(spark):
+    rng = random.Random(5)
+    varied, same = spell(rng, 55), spell(rng, 55)
+    texts = {1: [*spell(rng, 20), *varied, *spell(rng, 20), *same, *spell(rng, 20)]}
+    texts[2] = [w for _ in range(20) for w in [*varied, *spell(rng, 45)]]
+    filler = spell(rng, 45)
+    texts[3] = [w for _ in range(20) for w in [*same, *filler]]
+    got = marked(dedup.digest(dedup.repeated_spans(frame(spark, texts))).collect())
+    want = {i: m for i, m in covered(texts).items() if m}
+    assert [len(m) for m in want.values()] == [20 * 55, 20 * 55] and got == want
