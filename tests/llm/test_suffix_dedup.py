@@ -125,3 +125,14 @@ def test_passage_repeated_in_one_document(spark):
     got = marked(dedup.digest(dedup.repeated_spans(frame(spark, texts))).collect())
     want = {i: m for i, m in covered(texts).items() if m}
     assert [len(m) for m in want.values()] == [20 * 55, 20 * 55] and got == want
+
+
+def test_passage_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "_TASK_ROWS", 20)
+    monkeypatch.setattr(dedup, "SMALL_BYTES", 0)
+    rng = random.Random(6)
+    passage = spell(rng, 60)
+    texts = {i: [*spell(rng, 40), *passage, *spell(rng, 40)] for i in range(300)}
+    spans = dedup.digest(dedup.repeated_spans(frame(spark, texts))).collect()
+    assert marked(spans) == {i: m for i, m in covered(texts).items() if m}
+    assert len(spans) == 299 and {r.source_doc_id for r in spans} == {0}
