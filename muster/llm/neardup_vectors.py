@@ -8,10 +8,10 @@
    whose border is within ``margin`` of it.  Of two linked vectors in different
    cells, the distances to the border between them add up to what their
    difference spans across it, so a link is lost only if that exceeds twice the
-   margin.  The difference is at most sqrt(2 - 2 * 0.9) long; ``exact=True``
-   takes half of that as margin and loses nothing.  Otherwise the margin is
-   ``REACH`` standard deviations of what a difference of that length and random
-   direction spans across a plane, so losing a link takes twice that many.
+   margin.  The difference is at most sqrt(2 - 2 * 0.9) long; half of that as
+   margin loses nothing, whatever the vectors.  ``exact=False`` takes ``REACH``
+   standard deviations of what a difference of that length and random direction
+   spans across a plane, and loses links where few directions hold the differences.
 4. A cell's homes and visitors are packed into blocks of ``BLOCK`` vectors; each
    block of homes meets each block of its cell, spread over tasks by salts, and
    one matrix product gives all cosines of two blocks.  Only sums and a spanning
@@ -207,7 +207,7 @@ def near_duplicates(
     vector_col: str = "embedding",
     threshold: float = THRESHOLD,
     cell_size: int = CELL_SIZE,
-    exact: bool = False,
+    exact: bool = True,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each id; see the module for odd vectors."""
     spark = rows.sparkSession

@@ -85,6 +85,17 @@ def test_recall_of_links_at_the_threshold(spark):
     assert vectors.near_duplicates(frame, cell_size=25, exact=True).where("n_links >= 1").count() == 1600
 
 
+def test_links_of_vectors_in_few_directions(spark):
+    """Noise in 4 of 64 dimensions spans more across borders than in all of them."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [*x, *[0.0] * 60]) for i, x in enumerate(rng.normal(size=(1500, 4)).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    units = vectors.unit_rows(np.array([v for _, v in rows]))
+    links = (units @ units.T >= 0.9).sum(axis=1) - 1
+    got = vectors.near_duplicates(frame, cell_size=25).collect()
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(links.tolist()))
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id BIGINT, embedding ARRAY<FLOAT>")
     assert vectors.near_duplicates(frame).count() == 0
