@@ -101,9 +101,31 @@ BASE = (
     ),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", 0.7, "phone|call|tel|mobile|fax", _phone),
 )
+# Characters of an IBAN by country.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU",
+}
+
+
+def _iban() -> str:
+    """By the country's size, which takes nothing from the next word; for other
+    countries and sizes, whole words only."""
+    known = []
+    for size, countries in IBAN_SIZES.items():
+        groups, rest = divmod(size - 4, 4)
+        tail = rf" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        known.append(rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    other = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3}(?![A-Za-z0-9]))?"
+    return rf"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(known)}|{other})"
+
+
 ADDED = (
     Kind(
-        "iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+        "iban", _iban(),
         "", 0.8, "iban|bank|account", mod97,
     ),
     Kind(

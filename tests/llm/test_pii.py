@@ -103,3 +103,12 @@ def test_no_python_in_the_plan(small_docs):
     for frame in (pii.digest(pii.find_pii(small_docs)), pii.redact(small_docs)):
         plan = plan_of(frame)
         assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def test_iban_before_a_word(spark):
+    ibans = ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "DE89 3704 0044 0532 0130 00"]
+    after = ("", " Please", " PLEASE", " A", " IN", " 12", ", ok")
+    want = {f"to {i}{a}": f"iban:3:{3 + len(i)}" for i in ibans for a in after}
+    frame = spark.createDataFrame(list(enumerate(want)), "doc_id BIGINT, text STRING")
+    found = pii.find_pii(frame).join(frame, "doc_id").selectExpr("text", "get(spans, 0) AS s", "size(spans) AS n")
+    assert {r.text: f"{r.s.kind}:{r.s.start}:{r.s.end}" for r in found.collect() if r.n == 1} == want
