@@ -8,7 +8,6 @@ GATHERS = {"collect", "toArrow", "toPandas", "toLocalIterator", "crossJoin", "lo
 # and queries of one block; classes, terms and vectors of the labelled sample.
 ALLOWED = {
     ("neardup_vectors.py", "collect"): 1, ("neardup_vectors.py", "toArrow"): 1,
-    ("suffix_dedup.py", "collect"): 1,
     ("topk.py", "collect"): 1, ("topk.py", "toArrow"): 1,
     ("toxicity.py", "collect"): 3,
 }
