@@ -36,15 +36,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from muster.llm.frames import id_and_text, utf8
-from muster.llm.pretokens import Memory, words_of
+from muster.llm.pretokens import spelt, stretch_of, stretches, words_of
 
 TOKENIZER = "byte_bpe_50k.json"
 WINDOW = 2048
 END_ID = 1
 CLASS = 32
 BLOCK_TOKENS = 1 << 22
+MEMORY_BYTES = 128 << 20  # a Python worker keeps at most two generations of so much
 _SEQUENCE_BITS = 40
 
+# The letter that stands for each byte in a byte-level BPE: itself if it can be
+# printed, else one of those from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _PRINTED]
+_LETTERS = {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+
 # (document of the block, start, length, sequence of the block, offset)
 Piece = tuple[int, int, int, int, int]
 
@@ -165,6 +172,19 @@ def plan(sizes: list[int], window: int = WINDOW) -> Iterator[Piece]:
             start, size, offset, space = start + put, size - put, offset + put, space - put
 
 
+class _Known(dict):
+    """Ids of stretches; what is missing is found and kept."""
+
+    def __init__(self, find):
+        self.find = find
+        self.held = 0  # bytes, about
+
+    def __missing__(self, stretch: str) -> bytes:
+        ids = self[stretch] = self.find(stretch)
+        self.held += 200 + len(stretch) + len(ids)
+        return ids
+
+
 class Tokens:
     """Ids of texts (little-endian unsigned 32-bit) by the ``tokenizers`` library."""
 
@@ -172,21 +192,39 @@ class Tokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # a text's own "<|endoftext|>" is text
-        self.words = Memory(self._encode_words)
-
-    def _encode_words(self, words: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(words), 20_000):
-            part = words[start : start + 20_000]
-            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(part)))).tolist()
-            for first, end in zip([0, *ends], ends):
-                yield ids[first:end]
+        whole = Tokenizer.from_file(path)
+        self.model = whole.model  # knows no special tokens: "<|endoftext|>" is text
+        self.spelt_ids = [i.to_bytes(4, "little") for i in range(whole.get_vocab_size())]
+        self.young, self.old = _Known(self._find), {}
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():
+            letters = word.replace(" ", _LETTERS[32])
+        else:
+            letters = word.encode().decode("latin-1").translate(_LETTERS)
+        spelt_ids = self.spelt_ids
+        return b"".join([spelt_ids[token.id] for token in self.model.tokenize(letters)])
+
+    def _find(self, stretch: str) -> bytes:
+        if stretch in self.old:
+            return self.old[stretch]
+        if stretch.isalpha():
+            return self._word(" " + stretch)
+        words = words_of(spelt(stretch))
+        return self._words(words) if len(words) != 1 else self._word(words[0])
+
+    def _words(self, words: list[str]) -> bytes:
+        return b"".join([self.young[stretch_of(word)] for word in words])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        return map(b"".join, self.words.values([words_of(t) for t in texts]))
+        for text in texts:
+            if self.young.held > MEMORY_BYTES:
+                self.young, self.old = _Known(self._find), self.young
+            parts = stretches(text)
+            if parts is None:
+                yield self._words(words_of(text))
+            else:
+                yield b"".join(map(self.young.__getitem__, parts))
 
 
 @lru_cache(maxsize=1)

@@ -6,6 +6,7 @@ its words in order, and a task encodes a word once however often it occurs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
 
 import public_tokenizers
@@ -13,6 +14,31 @@ import regex
 
 words_of = regex.compile(public_tokenizers.PATTERN).findall
 CACHED = 1_000_000
+# A space inside white space, or at a text's end after some: no match begins there.
+_inside_white_space = re.compile(r"\s (?:\s|\Z)").search
+
+
+def stretches(text: str) -> list[str] | None:
+    """What lies between a text's spaces, or None where a space may not begin a match.
+
+    No match of the pattern goes on over a space that follows something else than
+    white space, nor over the last of several white spaces.  So the words of a text
+    are those of its stretches, each with the space before it (``spelt``).
+    """
+    if _inside_white_space(text):
+        return None
+    parts = text.split(" ")
+    parts[0] = " " + parts[0]  # no other part holds a space: this one has none before it
+    return parts
+
+
+def spelt(stretch: str) -> str:
+    return stretch[1:] if stretch[:1] == " " else " " + stretch
+
+
+def stretch_of(word: str) -> str:
+    """The stretch that is spelt as the word."""
+    return word[1:] if word[:1] == " " and " " not in word[1:] else " " + word
 
 
 class Memory:
