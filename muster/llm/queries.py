@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from muster.llm import (
+    best_fit,
     byte_bpe,
     licenses,
     neardup_texts,
@@ -76,10 +77,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.assemble(warc.read_records(spark, folder, with_payload=False)))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return best_fit.pack(docs, with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_suffix_dedup, op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k,
-        op7_minhash_dedup, op8_toxicity, op9_license_scan, op10_warc, pipeline,
+        op7_minhash_dedup, op8_toxicity, op9_license_scan, op10_warc, op11_best_fit, pipeline,
     )
     return {f.__name__: f for f in registered}
 
