@@ -160,6 +160,106 @@ _TEXT_LINKS = r"""
     FROM documents LEFT JOIN sets USING (doc_id) LEFT JOIN classes USING (print, n) LEFT JOIN found USING (id)"""
 
 
+def _words(text: str) -> str:
+    return (
+        f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+        r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+
+
+_RESAMPLING = f"""
+    WITH RECURSIVE step AS (
+        SELECT [list_reduce([b] || range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                FOR b IN range(256)] AS t
+    ), docs AS (
+        SELECT row_number() OVER () AS row, doc_id, {_words("coalesce(text, '')")} AS w FROM documents
+    ), words AS (
+        SELECT true AS ours, row, unnest(w) AS a, unnest(range(len(w))) AS i FROM docs
+        UNION ALL
+        SELECT false, row, unnest(w), unnest(range(len(w)))
+        FROM (SELECT row_number() OVER () AS row, {_words("coalesce(text, '')")} AS w FROM benchmark)
+    ), runs AS (
+        SELECT ours, row, a, lead(a) OVER following AS b, lead(a, 2) OVER following AS c FROM words
+        WINDOW following AS (PARTITION BY ours, row ORDER BY i)
+    ), features AS (
+        SELECT ours, row, a AS f FROM runs
+        UNION ALL SELECT ours, row, a || ' ' || b FROM runs WHERE b IS NOT NULL
+        UNION ALL SELECT ours, row, a || ' ' || b || ' ' || c FROM runs WHERE c IS NOT NULL
+    ), doc_features AS (
+        SELECT row, f FROM features WHERE ours
+    ), target_features AS (
+        SELECT f FROM features WHERE NOT ours
+    ), spelt AS MATERIALIZED (
+        SELECT row_number() OVER () AS k, f, hex(encode(f)) AS h, length(h) // 2 AS n
+        FROM (SELECT f FROM doc_features UNION SELECT f FROM target_features)
+    ), bytes AS (
+        SELECT k, n - i - 1 AS distance, h[2 * i + 1:2 * i + 2] AS byte
+        FROM (SELECT k, n, h, unnest(range(n)) AS i FROM spelt)
+    ), contributions AS (
+        SELECT 0 AS distance, unnest(range(256)) AS b, unnest(t) AS c FROM step
+        UNION ALL
+        SELECT distance + 1, b, xor(c >> 8, t[(c & 255) + 1]) FROM contributions, step
+        WHERE distance < (SELECT max(n) FROM spelt)
+    ), starts AS (
+        SELECT 0 AS n, 4294967295 AS r
+        UNION ALL
+        SELECT n + 1, xor(r >> 8, t[(r & 255) + 1]) FROM starts, step WHERE n < (SELECT max(n) FROM spelt)
+    ), spans AS (
+        SELECT k, bit_xor(c) AS x
+        FROM bytes JOIN (SELECT distance, printf('%02X', b) AS byte, c FROM contributions) USING (distance, byte)
+        GROUP BY k
+    ), buckets AS (
+        SELECT f, xor(4294967295, xor(r, x)) % 10000 AS bucket FROM spelt JOIN spans USING (k) JOIN starts USING (n)
+    ), source_counts AS (
+        SELECT bucket, count(*) AS s FROM doc_features JOIN buckets USING (f) GROUP BY bucket
+    ), target_counts AS (
+        SELECT bucket, count(*) AS t FROM target_features JOIN buckets USING (f) GROUP BY bucket
+    ), totals AS (
+        SELECT (SELECT count(*) FROM doc_features) AS every_s, (SELECT count(*) FROM target_features) AS every_t
+    ), gains AS (
+        SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (every_s::DOUBLE + 10000)
+                                       / ((coalesce(s, 0)::DOUBLE + 1) * (every_t::DOUBLE + 10000))))::BIGINT AS gain
+        FROM source_counts FULL JOIN target_counts USING (bucket), totals
+    ), summed AS (
+        SELECT row, count(*) AS n_features, sum(gain)::BIGINT AS weight
+        FROM doc_features JOIN buckets USING (f) JOIN gains USING (bucket) GROUP BY row
+    ), scored AS (
+        SELECT row, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               ('0x' || sha256('42:' || doc_id)[:8])::BIGINT::DOUBLE AS h
+        FROM docs LEFT JOIN summed USING (row)
+    ), noised AS (
+        SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score,
+               n_words >= 20 AND doc_id IS NOT NULL AS open
+        FROM scored
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY open ORDER BY score DESC, doc_id) AS place,
+               count(*) FILTER (open) OVER () AS n
+        FROM noised
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN open AND place <= 5 * n // 100 THEN place END AS rank
+    FROM ranked"""
+
+
+_HARD_NEGATIVES = f"""
+    WITH vectors AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+        FROM embeddings WHERE label IS NOT NULL AND {_FINITE}
+    ), scores AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+        FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_embedding_dedup": _VECTOR_LINKS,
@@ -167,4 +267,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_top_k": _TOP_K,
         "op7_minhash_dedup": _TEXT_LINKS,
         "op10_warc": _WARC,
+        "op12_importance": _RESAMPLING,
     }

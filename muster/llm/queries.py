@@ -10,6 +10,7 @@ import corpus_pipeline
 from muster.llm import (
     best_fit,
     byte_bpe,
+    importance,
     licenses,
     neardup_texts,
     neardup_vectors,
@@ -82,10 +83,16 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(docs, with_ids=False)
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return importance.resample(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_suffix_dedup, op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k,
-        op7_minhash_dedup, op8_toxicity, op9_license_scan, op10_warc, op11_best_fit, pipeline,
+        op7_minhash_dedup, op8_toxicity, op9_license_scan, op10_warc, op11_best_fit, op12_importance,
+        pipeline,
     )
     return {f.__name__: f for f in registered}
 
