@@ -268,4 +268,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_minhash_dedup": _TEXT_LINKS,
         "op10_warc": _WARC,
         "op12_importance": _RESAMPLING,
+        "op13_hard_negatives": _HARD_NEGATIVES,
     }

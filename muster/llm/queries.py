@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from muster.llm import (
     best_fit,
     byte_bpe,
+    hard_negatives,
     importance,
     licenses,
     neardup_texts,
@@ -88,11 +90,17 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    noisy = vectors.withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return hard_negatives.mine(noisy, F.col("vec_id") % 100 == 0).drop("positive_rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_suffix_dedup, op2_embedding_dedup, op3_pii, op4_pack_windows, op5_byte_bpe, op6_exact_top_k,
         op7_minhash_dedup, op8_toxicity, op9_license_scan, op10_warc, op11_best_fit, op12_importance,
-        pipeline,
+        op13_hard_negatives, pipeline,
     )
     return {f.__name__: f for f in registered}
 
