@@ -39,7 +39,7 @@ from muster.sources import schemas, sinks
 from muster.sources.sample import APPROVAL, DS, INVITE, RUN_TS, sample_tables
 from muster.sources.scratch import cut, new_folder
 from muster.sources.tables import run_sql
-from muster.streaming.approval import changed_events, mail_approvals
+from muster.streaming.approval import changed_events, changed_timeslots, mail_approvals
 
 REPORT_FIELDS = ["event_state", "event_url", "event_type"]
 RECUR_DAYS = [dt.date(2020, 2, 5) + dt.timedelta(days=n) for n in range(7)]
@@ -273,21 +273,43 @@ def approval_staging(t, _spark):
     return staged.select("email", "secondary_id", "event_url")
 
 
+def _arrived(t, spark, name, files):
+    """The folder of a table that arrives as some files."""
+    folder = new_folder(spark, name)
+    t[name].select(*schemas.INPUTS[name].fieldNames()).repartition(files).write.parquet(folder)
+    return folder
+
+
+def _mailed(ledger):
+    mailed = reporting.scheduled_payloads(
+        ledger.schedulings(), ledger.payloads("event_approval"), "event_approval", DS
+    )
+    return mailed.select("email", "secondary_id", "event_url")
+
+
 def approval_stream(t, spark):
     """All events arrive as files and run through the stream into a ledger."""
-    ledger, folder = new_ledger(t, spark), new_folder(spark, "events")
-    t["org_events"].repartition(4).write.parquet(folder)
-    schema = schemas.INPUTS["org_events"]
-    arrived = changed_events(spark, folder, max_files_per_trigger=2)
+    ledger, folder = new_ledger(t, spark), _arrived(t, spark, "org_events", 4)
     query = mail_approvals(
-        arrived.select(*schema.fieldNames()), lambda: t, ledger, APPROVAL,
+        changed_events(spark, folder, max_files_per_trigger=2), lambda: t, ledger, APPROVAL,
         new_folder(spark, "progress"), lambda: RUN_TS,
     )
     query.awaitTermination()
-    mailed = reporting.scheduled_payloads(
-        ledger.schedulings(), ledger.payloads("event_approval"), "event_approval", DS
+    return _mailed(ledger)
+
+
+def approval_stream_late_timeslots(t, spark):
+    """Events arrive in one batch, and their timeslots in three, two of them later."""
+    ledger = new_ledger(t, spark)
+    arrived, slots = (_arrived(t, spark, name, n) for name, n in (("org_events", 2), ("timeslots", 3)))
+    others = {name: table for name, table in t.items() if name not in ("org_events", "timeslots")}
+    query = mail_approvals(
+        changed_events(spark, arrived, max_files_per_trigger=2), lambda: others, ledger, APPROVAL,
+        new_folder(spark, "progress"), lambda: RUN_TS,
+        changed_timeslots(spark, slots, max_files_per_trigger=1),
     )
-    return mailed.select("email", "secondary_id", "event_url")
+    query.awaitTermination()
+    return _mailed(ledger)
 
 
 # Sending
@@ -558,7 +580,7 @@ REGISTERED = {
         event_features, event_features_by_tag, event_scores, event_window, haversine, nearby_pairs,
         nearby_pairs_grid, capacity_filter, score_pairs, best_event, invite_staging, payload_upsert,
         scheduling_upsert, reset_schedulings, ledger_publish, schedule_two_days, next_timeslot_min,
-        approved_events, approval_staging, approval_stream, pending_sends, pending_count,
+        approved_events, approval_staging, approval_stream, approval_stream_late_timeslots, pending_sends, pending_count,
         pending_total, deferrals_total, send_batches, send_batches_limited, whitelist, override_round_robin, outbound_requests, template_requests,
         placeholder_sends, classify_send, classify_deferred, classify_ses, apply_outcomes, ledger_sending,
         reset_sends, pending_deferrals, send_status_summary, group_responses, forecast_detail,

@@ -366,6 +366,7 @@ BODIES = {
         FROM {approved}""",
     "approval_staging": "SELECT email, secondary_id, event_url FROM {approval_staged}",
     "approval_stream": "SELECT email, secondary_id, event_url FROM {approval_staged}",
+    "approval_stream_late_timeslots": "SELECT email, secondary_id, event_url FROM {approval_staged}",
     "pending_sends": f"SELECT {PAYLOAD}, strftime(scheduled_at, '%Y-%m-%d %H:%M:%S') AS scheduled_at FROM {{pending}}",
     "pending_count": "SELECT CAST(ds AS VARCHAR) AS ds, count(*) AS c FROM {pending} GROUP BY ds",
     "send_batches": """

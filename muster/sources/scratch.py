@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,21 +38,32 @@ def intermediate(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what was cut inside.
 
     For jobs that end with a write: frames that outlive the block must not
-    rest on anything cut in it.
+    rest on anything cut in it.  A block holds what its own thread cuts; work
+    on other threads, as the callback of a stream, opens its own.
     """
-    _open.append([])
+    folders: list[str] = []
+    token = _open.set(folders)
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        settings = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in _open.pop():
-            path = hadoop.Path(folder)
-            path.getFileSystem(settings).delete(path, True)
+        _open.reset(token)
+        for folder in folders:
+            delete(spark, folder)
 
 
-# Folders cut in each open ``intermediate`` block.
-_open: list[list[str]] = []
+def delete(spark: SparkSession, folder: str) -> None:
+    path, files = file_system(spark, folder)
+    files.delete(path, True)
+
+
+def file_system(spark: SparkSession, folder: str):
+    """The folder as Hadoop names it, and the file system that has it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+# Folders cut in the innermost open ``intermediate`` block of this thread.
+_open: ContextVar[list[str] | None] = ContextVar("open_block", default=None)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -63,7 +75,8 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, "cut")
-    if _open:
-        _open[-1].append(folder)
+    block = _open.get()
+    if block is not None:
+        block.append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
