@@ -568,6 +568,21 @@ def ascii_fold(t, _spark):
     return t["documents"].select("doc_id", text.fold_ascii(F.col("text")).alias("folded"))
 
 
+def ascii_fold_scripts(t, _spark):
+    """Customers' segments written in other scripts, letter for letter, and folded back;
+    and Hangul syllables by number."""
+    segment = F.lower("c_mktsegment")
+    written = [
+        t["customer"].select("c_custkey", F.lit(script).alias("script"), F.translate(segment, *letters).alias("text"))
+        for script, letters in oracle.SCRIPTS.items()
+    ]
+    number = F.lpad(F.hex(F.lit(0xAC00) + F.col("c_custkey") % 11172), 4, "0")
+    syllable = F.decode(F.unhex(number), "UTF-16BE")
+    written.append(t["customer"].select("c_custkey", F.lit("hangul").alias("script"), syllable.alias("text")))
+    rows = reduce(DataFrame.unionByName, written)
+    return rows.select("c_custkey", "script", text.fold_ascii(F.col("text")).alias("folded"))
+
+
 def name_case(t, _spark):
     first, last = text.repair_names(F.col("firstname"), F.col("lastname"))
     return t["cons"].select("cons_id", first.alias("firstname"), last.alias("lastname"))
@@ -586,7 +601,7 @@ REGISTERED = {
         reset_sends, pending_deferrals, send_status_summary, group_responses, forecast_detail,
         forecast_all_time, forecast_by_week, forecast_report, event_reach, ad_hoc_sql,
         audience_group, audience_map, audience_dataset, personalization_files,
-        identity_map_file, recipient_group_file, payload_massage, ascii_fold, name_case,
+        identity_map_file, recipient_group_file, payload_massage, ascii_fold, ascii_fold_scripts, name_case,
     )
 } | {"personalization_long": long_values}
 

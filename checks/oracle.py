@@ -14,6 +14,22 @@ INVALID_TEXT = "Must be a valid e-mail address"
 ALREADY_DELIVERED_TEXT = "The requested deferred result has already been delivered"
 RATE_LIMIT_TEXT = "Rate limit exceeded"
 
+# Letters of other scripts that are spelled by one Latin letter each.
+SCRIPTS = {
+    "armenian": ("atombiledngfrhys", "ատօմբիլեդնգֆրհյս"),
+    "georgian": ("autombiledngfrchs", "აუტომბილედნგჶრცჰს"),
+    "hebrew": ("tmbldngrhys", "טמבלדנגרהיס"),
+    "arabic": ("atmbldnfrhys", "اتمبلدنفرهيس"),
+    "devanagari": ("autombiledngfrchys", "अउतओमबइलएदनग\u095eरचहयस"),
+    "tamil": ("automilenrchys", "அஉதஒமஇலஎநரசஹயஸ"),
+}
+# Sounds of Hangul in the order of their numbers, "-" where there is none.
+HANGUL = (
+    "g gg n d dd r m b bb s ss - j jj c k t p h",
+    "a ae ya yae eo e yeo ye o wa wae oe yo u weo we wi yu eu yi i",
+    "- g gg gs n nj nh d l lg lm lb ls lt lp lh m b bs s ss ng j c k t p h",
+)
+
 DAY = "DATE '2020-02-12'"
 EVENT_DAY = "DATE '2020-02-15'"
 NY = "timezone('America/New_York', timezone('UTC', {0}))"
@@ -270,6 +286,18 @@ def _quoted(json: str) -> str:
 PAYLOAD = """email, secondary_id, cons_id, CAST(ds AS VARCHAR) AS ds, event_url, event_title,
     CAST(distance_to_event AS DOUBLE) AS distance_to_event"""
 
+def _ascii_fold_scripts() -> str:
+    initial, vowel, ending = (f"replace(string_split('{sounds}', ' ')[{{}} + 1], '-', '')" for sounds in HANGUL)
+    n = "(c_custkey % 11172)"
+    scripts = ", ".join(f"'{name}'" for name in SCRIPTS)
+    return f"""
+        SELECT c_custkey, unnest([{scripts}]) AS script, lower(c_mktsegment) AS folded FROM {{customer}}
+        UNION ALL
+        SELECT c_custkey, 'hangul', {initial.format(f'{n} // 588')} || {vowel.format(f'{n} % 588 // 28')}
+               || {ending.format(f'{n} % 28')}
+        FROM {{customer}}"""
+
+
 BODIES = {
     "constituents": """
         SELECT email, cons_id, firstname, lastname, addr1, city, state_cd, state_name, zip,
@@ -454,6 +482,7 @@ BODIES = {
                CASE WHEN distance_to_event = 0 THEN '' ELSE CAST(distance_to_event AS VARCHAR) END
                  AS distance_to_event,
                CASE WHEN cons_id = 0 THEN '' ELSE CAST(cons_id AS VARCHAR) END AS cons_id FROM {payloads}""",
+    "ascii_fold_scripts": _ascii_fold_scripts(),
     "ascii_fold": r"""
         SELECT doc_id, regexp_replace(strip_accents(replace(text, 'ß', 'ss')), '[^\x00-\x7F]', '', 'g')
                  AS folded FROM {documents}""",

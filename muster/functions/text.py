@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column
@@ -48,20 +49,68 @@ GREEK_SPELLINGS = {
 }
 # Syllables whose spelling follows from their Unicode name, as "HIRAGANA LETTER KA".
 _SYLLABLE = re.compile(r"(?:HIRAGANA|KATAKANA) LETTER (?:SMALL )?([A-Z]+)$")
-# Blocks with spellings: Latin, Greek, Cyrillic, punctuation, currencies, fractions, kana.
-_BLOCKS = ((0x80, 0x250), (0x370, 0x460), (0x1E00, 0x2000), (0x2000, 0x2070), (0x20A0, 0x20C0),
-           (0x2100, 0x2190), (0x3040, 0x3100), (0xFB00, 0xFB07))
+# Letters whose Unicode name begins with their sound, as "ARMENIAN SMALL LETTER GIM",
+# after words that tell forms of one letter apart.
+_ALPHABET = re.compile(
+    r"(?:ARMENIAN|GEORGIAN|HEBREW|ARABIC) (?:MTAVRULI )?(CAPITAL )?(?:SMALL )?(?:LETTER|LIGATURE(?= YIDDISH)) "
+    r"(?:(?:FINAL|WIDE|HIGH|HAMZA|FARSI|SWASH|DOTLESS|KIRGHIZ|YIDDISH|DOUBLE|AFRICAN|TURNED|SMALL) (?!WITH))*([A-Z]+)"
+)
+# Letters and vowel signs of Indian scripts, where a consonant's name ends in "A".
+_INDIC = re.compile(
+    r"(?:DEVANAGARI|BENGALI|GURMUKHI|GUJARATI|ORIYA|TAMIL|TELUGU|KANNADA|MALAYALAM|SINHALA) "
+    r"(?:[A-Z -]+ )?([A-Z]+)$"
+)
+_SOUND = re.compile(r"[^AEIOU]+|[AEIOU]")
+# Names of letters that do not begin with the sound, and signs with one.
+NAMED_SOUNDS = {
+    "VO": "o", "CA": "ts", "CO": "ts", "JA": "dz", "TSADI": "ts", "HAMZA": "'", "TCHEH": "ch", "JEH": "zh",
+    "TEHEH": "t", "TCHEHEH": "ch", "YIWN": "w",
+}
+INDIC_SIGNS = {
+    "ANUSVARA": "n", "CANDRABINDU": "n", "BINDI": "n", "TIPPI": "n", "VISARGA": "h", "AVAGRAHA": "'",
+    "ANUSVARAYA": "n", "VISARGAYA": "h", "OM": "om", "ONKAR": "om", "IRI": "", "URA": "",
+}
+SCRIPT_MARKS = {"ـ": "", "،": ",", "؛": ";", "؟": "?", "۔": ".", "।": ".", "॥": ".", "՝": ",", "։": ":", "־": "-", "׳": "'", "״": '"'}
+# Blocks with spellings: Latin, Greek, Cyrillic, Armenian, Hebrew, Arabic, Indian scripts,
+# Georgian, punctuation, currencies, fractions, kana, forms of letters.
+_BLOCKS = ((0x80, 0x250), (0x370, 0x460), (0x530, 0x700), (0x750, 0x780), (0x900, 0xE00), (0x10A0, 0x1100),
+           (0x1C90, 0x1CC0), (0x1E00, 0x2000), (0x2000, 0x2070), (0x20A0, 0x20C0),
+           (0x2100, 0x2190), (0x3040, 0x3100), (0xFB00, 0xFB07), (0xFB13, 0xFE00), (0xFE70, 0xFFA0), (0xFFE0, 0xFFF0))
 # What stands for a letter or digit that none of this spells.
 UNSPELLED = "?"
-# Markers for spellings of several characters, from the area for private use;
-# those of syllables follow the others.
-_MARKERS, _SYLLABLE_MARKERS = 0xE000, 0xE800
+# The first marker for spellings of several characters, in the area for private use.
+_MARKERS = 0xE000
 
 
-def _spelling(char: str, fixed: dict[str, str]) -> str:
-    syllable = _SYLLABLE.match(unicodedata.name(char, ""))
+def _by_name(char: str) -> str | None:
+    """Spelling of a letter, sign or digit whose Unicode name tells its sound or value."""
+    value = unicodedata.numeric(char, 0.5)
+    if value == int(value) and unicodedata.normalize("NFKD", char) == char:
+        return str(int(value))
+    name = unicodedata.name(char, "")
+    syllable = _SYLLABLE.match(name)
     if syllable:
         return syllable[1].lower()
+    letter = _ALPHABET.match(name)
+    if letter and unicodedata.category(char)[0] == "L":
+        sound = NAMED_SOUNDS.get(letter[2]) or _SOUND.match(letter[2])[0].lower()
+        sound = re.sub(r"(.)\1+", r"\1", sound)
+        return sound.capitalize() if letter[1] else sound
+    letter = _INDIC.match(name.partition(" WITH ")[0])
+    if not letter:
+        return None
+    sound = letter[1].removesuffix("YANNA")  # as consonants are called in Sinhala
+    if sound in INDIC_SIGNS:
+        return INDIC_SIGNS[sound]
+    if " LETTER " not in name and " VOWEL " not in name:
+        return None
+    consonant = sound[0] not in "AEIOU" and " LETTER " in name
+    return (sound.removesuffix("A") if consonant and len(sound) > 1 else sound).lower()
+
+
+def _spelling(char: str, fixed: dict[str, str]) -> str:
+    if char not in fixed and (named := _by_name(char)) is not None:
+        return named
     parts = []
     for part in unicodedata.normalize("NFKD", fixed.get(char, char)):
         kind = unicodedata.category(part)[0]
@@ -69,7 +118,9 @@ def _spelling(char: str, fixed: dict[str, str]) -> str:
             parts.append(part)
         elif part in fixed:
             parts.append(fixed[part])
-        elif kind in "LN":
+        elif (named := _by_name(part)) is not None:
+            parts.append(named)
+        elif kind in "LN" and unicodedata.category(part) != "Lm":
             parts.append(UNSPELLED)
         elif kind == "Z":
             parts.append(" ")
@@ -79,7 +130,7 @@ def _spelling(char: str, fixed: dict[str, str]) -> str:
 @cache
 def ascii_spellings() -> dict[str, str]:
     """Spelling of each character of the blocks; marks on letters have none."""
-    fixed = dict(LATIN_SPELLINGS | MARK_SPELLINGS)
+    fixed = dict(LATIN_SPELLINGS | MARK_SPELLINGS | SCRIPT_MARKS)
     for letter, spelling in (CYRILLIC_SPELLINGS | GREEK_SPELLINGS).items():
         fixed |= {letter.upper(): spelling.capitalize(), letter: spelling}
     return {c: _spelling(c, fixed) for first, end in _BLOCKS for c in map(chr, range(first, end))}
@@ -112,41 +163,75 @@ def blank_if_falsy(value: Column, kind: T.DataType) -> Column:
     return F.when(value.isNull() | empty, F.lit("")).otherwise(text)
 
 
+# First syllable of Hangul, and the numbers of its vowels and of its endings.
+_HANGUL, _VOWELS, _ENDINGS = 0xAC00, 21, 28
+
+
+def _texts_array(texts: Iterable[str]) -> Column:
+    return F.array(*map(F.lit, texts))
+
+
+def _hangul(number: Column) -> Column:
+    """Spelling of a syllable by its initial, vowel and ending, which its number is made of."""
+
+    def sounds(step: int, n: int, start: int, end: int | None) -> Column:
+        # Of syllables that differ from the first in one of the three alone, the names tell it.
+        names = [unicodedata.name(chr(_HANGUL + step * i)).rsplit(" ", 1)[1].lower() for i in range(n)]
+        return _texts_array(name[start:end] for name in names)
+
+    initials = sounds(_VOWELS * _ENDINGS, 19, 0, -1)
+    vowels = sounds(_ENDINGS, _VOWELS, 1, None)
+    endings = sounds(1, _ENDINGS, 2, None)
+
+    def part(of: Column, step: int, n: int) -> Column:
+        at = F.call_function("div", number, F.lit(step)) % n
+        return F.get(of, at.cast("int"))
+
+    return F.concat(part(initials, _VOWELS * _ENDINGS, 19), part(vowels, _ENDINGS, _VOWELS), part(endings, 1, _ENDINGS))
+
+
 def fold_ascii(text: Column) -> Column:
     """ASCII spelling of a text.
 
-    Accents go, Cyrillic, Greek, kana and some other alphabets are romanised,
-    currencies and marks spelled out.  A letter or digit without a spelling
-    becomes ``?``, so no text of letters becomes empty; other symbols, control
-    characters and marks are dropped.  The table is made when the plan is, and
-    applied by ``translate``; the few spellings of several characters go through
-    a marker each.  ASCII texts are left as they are.
+    Accents go, currencies and marks are spelled out.  Letters are romanised one
+    by one: Cyrillic and Greek by a table, kana and Hangul by syllable, and
+    Armenian, Georgian, Hebrew, Arabic and the Indian scripts by their Unicode
+    names.  A letter or digit without a spelling (Han above all) becomes ``?``,
+    so no text of letters becomes empty; other symbols, control characters and
+    marks are dropped.  The table is made when the plan is, and applied by
+    ``translate``; a spelling of several characters goes through a marker, whose
+    number is its place in an array.  ASCII texts are left as they are.
     """
     spelled = ascii_spellings()
     marker: dict[str, str] = {}
-    for char, spelling in spelled.items():
+    for spelling in spelled.values():
         if len(spelling) > 1:
-            first = _SYLLABLE_MARKERS if _SYLLABLE.match(unicodedata.name(char, "")) else _MARKERS
-            marker.setdefault(spelling, chr(first + len(marker)))
+            marker.setdefault(spelling, chr(_MARKERS + len(marker)))
     # Characters that are dropped come last, beyond the targets.
     kept = {c: marker.get(v, v) for c, v in spelled.items() if v}
     source = "".join([*kept, *(c for c, v in spelled.items() if not v)])
     known = "".join(f"\\x{{{first:x}}}-\\x{{{end - 1:x}}}" for first, end in _BLOCKS)
-    # Outside the blocks: letters and digits are marked, and the rest is dropped.
+    # Outside the blocks and Hangul: letters and digits are marked, and the rest is dropped.
     folded = F.regexp_replace(text, rf"[^\x00-\x7F{known}\p{{L}}\p{{N}}]", "")
-    folded = F.regexp_replace(folded, rf"[^\x00-\x7F{known}]", UNSPELLED)
+    folded = F.regexp_replace(folded, rf"[^\x00-\x7F{known}\x{{ac00}}-\x{{d7a3}}]", UNSPELLED)
     folded = F.translate(folded, source, "".join(kept.values()))
 
-    def spelt(value: Column, first: int, end: int) -> Column:
-        result = value
-        for spelling, mark in marker.items():
-            if first <= ord(mark) < end:
-                result = F.replace(result, F.lit(mark), F.lit(spelling))
-        return F.when(value.rlike(rf"[\x{{{first:x}}}-\x{{{end - 1:x}}}]"), result).otherwise(value)
+    spellings = _texts_array(marker)
+    last_marker = chr(_MARKERS + len(marker) - 1)
+
+    def spelt(char: Column) -> Column:
+        code = F.ascii(char)
+        return (
+            F.when(char <= "\x7f", char)
+            .when(char.between("\uac00", "\ud7a3"), _hangul(code - _HANGUL))
+            .otherwise(F.get(spellings, code - _MARKERS))
+        )
+
+    def expanded(value: Column) -> Column:
+        several = value.rlike(f"[{chr(_MARKERS)}-{last_marker}\uac00-\ud7a3]")
+        return F.when(several, F.array_join(F.transform(F.split(value, ""), spelt), "")).otherwise(value)
 
-    for first, end in ((_MARKERS, _SYLLABLE_MARKERS), (_SYLLABLE_MARKERS, 0xF000)):
-        folded = _let(folded, lambda value, first=first, end=end: spelt(value, first, end))
-    return F.when(text.rlike(r"[^\x00-\x7F]"), folded).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), _let(folded, expanded)).otherwise(text)
 
 
 def _let(value: Column, use) -> Column:

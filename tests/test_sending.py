@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import re
+import unicodedata
 import urllib.parse
 from decimal import Decimal
 
@@ -265,8 +266,20 @@ def test_ascii_folding(spark):
     golden = {
         "café ß Øre “hi” 😀": 'cafe ss Ore "hi" ', "plain": "plain", None: None, "": "",
         "Иван Щукин": "Ivan Shchukin", "Павел Жёлтый": "Pavel Zhioltyi", "Παῦλος Θωμᾶς": "Paulos Thomas",
-        "€5 £3 ¥2": "EUR5 GBP3 JPY2", "北京": "??", "かたカナばぱ": "katakanabapa", "שלום": "????",
-        "½ ﬁ … Ǆ": "1/2 fi ... DZ", "x\u0301\u200by\ue000z": "xyz", "한글": "??", "naïve—ŁÓDŹ": "naive--LODZ",
+        "€5 £3 ¥2": "EUR5 GBP3 JPY2", "北京": "??", "かたカナばぱ": "katakanabapa", "ｶﾀｶﾅ ﾊﾟ": "katakana ha",
+        "½ ﬁ … Ǆ": "1/2 fi ... DZ", "x\u0301\u200by\ue000z": "xyz", "naïve—ŁÓDŹ": "naive--LODZ",
+        # Hangul, by arithmetic.
+        "한글": "hangeul", "김민수 씨": "gimminsu ssi", "안녕하세요": "annyeonghaseyo", "힣": "hih", "값": "gabs",
+        "원의 😀 최": "weonyi  coe",
+        # By Unicode names.
+        "Հայաստան": "Hayastan", "Երևան": "Erewan", "Գոհար": "Gohar", "Ձյուն": "Dzyown",
+        "საქართველო": "sakhartvelo", "ნინო": "nino", "ᲗᲑᲘᲚᲘᲡᲘ": "TBILISI",
+        "שלום": "shlvm", "יעקב כהן": "yaqb khn", "צבי־ים": "tsby-ym",
+        "محمد": "mhmd", "فاطمة": "fatmt", "شيخ، غزال؟": "shykh, ghzal?", "پاکستان": "pakstan", "مُحَمَّد ـ": "mhmd ",
+        "نجيب ١٢٣ ۴۵": "njyb 123 45", "ﻼ": "la",
+        "नमस्ते": "nmste", "हिन्दी ॐ।": "hindii om.", "\u095bाकिर": "zaakir", "\u091c\u093cाकिर": "jaakir", "संजय": "snjy", "१२३": "123",
+        "বাংলা": "baanlaa", "ਪੰਜਾਬੀ": "pnjaabii", "ગુજરાતી": "gujraatii", "ଓଡ଼ିଆ": "oddiaa", "தமிழ் ௰": "tmilll 10",
+        "తెలుగు": "telugu", "ಕನ್ನಡ": "knndd", "മലയാളം": "mlyaalln", "සිංහල": "snhl", "ৰo": "ro",
     }
     frame = spark.createDataFrame(list(enumerate(golden)), "i int, v string")
     got = {r.v: r.folded for r in frame.select("v", text.fold_ascii(F.col("v")).alias("folded")).collect()}
@@ -274,6 +287,22 @@ def test_ascii_folding(spark):
     assert "Python" not in plan_of(frame.select(text.fold_ascii(F.col("v"))))
 
 
+def test_no_letter_of_a_spelled_script_is_lost():
+    scripts = r"(ARMENIAN|GEORGIAN|HEBREW|ARABIC|DEVANAGARI|BENGALI|GURMUKHI|GUJARATI|ORIYA|TAMIL|TELUGU|KANNADA|MALAYALAM|SINHALA) "
+    spelled = {c: s for c, s in text.ascii_spellings().items() if re.match(scripts + ".*LETTER", unicodedata.name(c, ""))}
+    assert len(spelled) > 1000
+    assert not [c for c, s in spelled.items() if "?" in s or not s.isascii()]
+    # Only what modifies another letter has no spelling of its own.
+    assert {unicodedata.category(c) for c, s in spelled.items() if not s} <= {"Lm", "Mn", "Mc", "Cf"}
+
+
+def test_every_hangul_syllable_is_spelled_as_it_is_named(spark):
+    syllables = [chr(c) for c in range(0xAC00, 0xD7A4)]
+    frame = spark.createDataFrame([(c,) for c in syllables], "v string")
+    got = {r.v: r.s for r in frame.select("v", text.fold_ascii(F.col("v")).alias("s")).collect()}
+    assert got == {c: unicodedata.name(c).rsplit(" ", 1)[1].lower() for c in syllables}
+
+
 def test_status_summary(spark):
     schedulings = table(spark, "SCHEDULINGS", *[dict(KEY, email=e) for e in "abc"])
     sends = table(spark, "SENDS", dict(KEY, email="a", mailing_recipient_id="DEFER"),
