@@ -8,24 +8,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from muster.sources.scratch import cut
+from muster.sources.scratch import cut, measured_cut
 
+# Bytes of stored rows, compressed, that one task should sort.
+TASK_BYTES = 16 << 20
 _ROW_BITS = 33  # low bits of monotonically_increasing_id: row within its partition
 
 
 def with_position(rows: DataFrame, order: Sequence[Column], partitions: int | None = None) -> DataFrame:
     """Rows with their zero-based ``position`` in ``order``.
 
-    Range partitioning puts the rows in order across tasks and a local sort
-    within them; a row's position is then its place in its partition plus the
-    sizes of the partitions before.  Only those sizes, one number per
-    partition, reach the driver.
+    The rows are written first, which tells their size; the number of ranges
+    follows from it, and Spark's range partitioner finds their bounds in a sample.
+    Rows that tie are told apart by their place in what was written, so that
+    ranges can be cut anywhere: one crowded address, or one row repeated for ever,
+    is as many ranges as its size asks for.  A row's position is its place in its
+    range plus the sizes of the ranges before.  Only those sizes, one number per
+    range, reach the driver.
     """
     spark = rows.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored, size = measured_cut(rows.withColumn("_tie", F.monotonically_increasing_id()))
+    n = partitions or max(1, -(-size // TASK_BYTES))
+    order = [*order, F.asc("_tie")]
     ordered = cut(
-        rows.repartitionByRange(n, *order)
+        stored.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
+        .drop("_tie")
         .withColumn("_slot", F.monotonically_increasing_id())
     )
     part = F.shiftright("_slot", _ROW_BITS)

@@ -73,10 +73,17 @@ def cut(df: DataFrame) -> DataFrame:
     executor makes Spark compute them again.  A written table also tells Spark
     its size, by which it chooses between broadcast and shuffle.
     """
+    return measured_cut(df)[0]
+
+
+def measured_cut(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut``, and the bytes of the written table."""
     spark = df.sparkSession
     folder = new_folder(spark, "cut")
     block = _open.get()
     if block is not None:
         block.append(folder)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    path, files = file_system(spark, folder)
+    size = files.getContentSummary(path).getLength()
+    return spark.read.schema(df.schema).parquet(folder), size

@@ -6,10 +6,12 @@ import urllib.parse
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from muster.functions import responses as answers
 from muster.functions import text
+from muster.operators import position
 from muster.operators.position import with_position
 from muster.plans import jobs, sending
 from muster.sources import schemas
@@ -152,11 +154,42 @@ def test_positions_are_global_and_whole(spark):
     assert with_position(frame.where("false"), sending.send_order()).count() == 0
 
 
-def test_tasks_are_not_pinned(spark):
-    plan = plan_of(numbered(spark, 50).repartitionByRange(*sending.send_order()))
-    assert "REPARTITION_BY_COL" in plan
-    positioned = with_position(numbered(spark, 50), sending.send_order())
-    assert "REPARTITION_BY_NUM" not in plan_of(positioned)
+def ranges_of(monkeypatch, frame, order):
+    """What ``with_position`` returns, and the rows of each range that it sorted."""
+    stored = []
+    keep = position.cut
+    monkeypatch.setattr(position, "cut", lambda df: stored.append(keep(df)) or stored[-1])
+    result = position.with_position(frame, order)
+    (ordered,) = stored
+    sizes = ordered.groupBy(F.shiftright("_slot", 33)).count().collect()
+    return result, [r["count"] for r in sizes]
+
+
+@pytest.mark.parametrize("parts", ["3", "64"])
+def test_ranges_follow_the_data(spark, monkeypatch, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        _, few = ranges_of(monkeypatch, numbered(spark, 10), sending.send_order())
+        assert few == [10]
+        many = spark.range(10_000_000).select(F.xxhash64("id").alias("key"), "id")
+        result, sizes = ranges_of(monkeypatch, many, [F.asc("key")])
+        # About 8 bytes a key and 4 an id, at 16 MB a range.
+        assert 5 <= len(sizes) <= 12 and sum(sizes) == 10_000_000
+        assert max(sizes) < 1.5 * min(sizes)
+        assert result.agg(F.min("position"), F.max("position")).first()[:] == (0, 9_999_999)
+        wrong = result.select("position", "key", F.lead("key").over(Window.partitionBy(F.expr("position div 100000")).orderBy("position")).alias("next"))
+        assert wrong.where("next < key").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_crowded_address_is_split(spark, monkeypatch):
+    monkeypatch.setattr(position, "TASK_BYTES", 20_000)
+    crowded = numbered(spark, 30_000).withColumns({"email": F.lit("a"), "cons_id": F.lit(1).cast("long")})
+    result, sizes = ranges_of(monkeypatch, crowded, sending.send_order())
+    assert len(sizes) > 4 and max(sizes) < 15_000
+    assert sorted(r[0] for r in rows(result, "position")) == list(range(30_000))
 
 
 def test_positions_put_nulls_last(spark):
