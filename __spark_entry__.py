@@ -244,11 +244,20 @@ def ledger_publish(t, spark):
     )
 
 
-def schedule_two_days(t, _spark):
-    staged = scheduling.plan_horizon(t, t["schedulings"], t["sends"], INVITE, RUN_TS, days=1)
+def _horizon(t, days):
+    staged = scheduling.plan_horizon(t, t["schedulings"], t["sends"], INVITE, days)
     return plain(staged, "ds", "cons_id", "email", "event_id", "event_start_date")
 
 
+def schedule_two_days(t, _spark):
+    return _horizon(t, 1)
+
+
+def schedule_eight_days(t, _spark):
+    """Today and the seven days after it."""
+    return _horizon(t, 7)
+
+
 # Approval
 
 
@@ -594,7 +603,7 @@ REGISTERED = {
         constituents, suppression_anti, zip_fallback, rsvp_counts, next_timeslots, timeslot_text,
         event_features, event_features_by_tag, event_scores, event_window, haversine, nearby_pairs,
         nearby_pairs_grid, capacity_filter, score_pairs, best_event, invite_staging, payload_upsert,
-        scheduling_upsert, reset_schedulings, ledger_publish, schedule_two_days, next_timeslot_min,
+        scheduling_upsert, reset_schedulings, ledger_publish, schedule_two_days, schedule_eight_days, next_timeslot_min,
         approved_events, approval_staging, approval_stream, approval_stream_late_timeslots, pending_sends, pending_count,
         pending_total, deferrals_total, send_batches, send_batches_limited, whitelist, override_round_robin, outbound_requests, template_requests,
         placeholder_sends, classify_send, classify_deferred, classify_ses, apply_outcomes, ledger_sending,

@@ -237,26 +237,45 @@ STEPS = {
         FROM {send_outcomes} s JOIN {deferred_outcomes} d ON d.secondary_id = s.secondary_id""",
 }
 
-# The steps of the next day: one day on, and seeing what the first day staged.
+# The steps of the days after the first: each a day on, and seeing what the days before it staged.
 OF_A_DAY = (
     "slots", "slot_texts", "days", "synopses", "day_lists", "time_lists", "next_slots", "features",
     "scored", "pairs", "ratios", "roomy", "best", "staged",
 )
+# Days of an event window by its first day, from the Saturday of the first event day on.
+WINDOW_DAYS = (3, 3, 3, 2, 5, 4, 3, 3)
 
 
-def _next_day(sql: str) -> str:
-    sql = sql.replace(DAY, "DATE '2020-02-13'").replace(EVENT_DAY, "DATE '2020-02-16'")
+def _later_day(sql: str, n: int) -> str:
+    sql = sql.replace(f"AND n.start_date < {EVENT_DAY} + 3", f"AND n.start_date < {EVENT_DAY} + {WINDOW_DAYS[n]}")
+    sql = sql.replace(f"BETWEEN {DAY} - 2 AND {DAY} - 1", f"BETWEEN {DAY} - 2 AND {DAY}")
+    # The event day first: on the fourth day, the day is what the event day was.
+    sql = sql.replace(EVENT_DAY, f"DATE '2020-02-{15 + n}'").replace(DAY, f"DATE '2020-02-{12 + n}'")
     for name in OF_A_DAY:
-        sql = sql.replace(f"{{{name}}}", f"{{{name}_2}}")
-    return sql.replace("{schedulings}", "{schedulings_2}")
+        sql = sql.replace(f"{{{name}}}", f"{{{name}_{n + 1}}}")
+    return sql.replace("{schedulings}", f"{{schedulings_{n + 1}}}")
 
 
-STEPS["schedulings_2"] = f"""
-    SELECT ds, email, mailing_name, secondary_id FROM {{schedulings}}
-    UNION ALL SELECT {DAY}, email, 'event_invite', NULL FROM {{staged}}"""
-# Only the text of the tracking link names the day, and it is not looked at.
-STEPS |= {f"{name}_2": _next_day(STEPS[name]) for name in OF_A_DAY}
-STEPS["staged_2"] = STEPS["staged_2"].replace("DATE '2020-02-13' - 1)", "DATE '2020-02-13')")
+def _staged(n: int) -> str:
+    return "staged" if n == 0 else f"staged_{n + 1}"
+
+
+for _n in range(1, len(WINDOW_DAYS)):
+    _before = "schedulings" if _n == 1 else f"schedulings_{_n}"
+    STEPS[f"schedulings_{_n + 1}"] = f"""
+        SELECT ds, email, mailing_name, secondary_id FROM {{{_before}}}
+        UNION ALL SELECT DATE '2020-02-{11 + _n}', email, 'event_invite', NULL FROM {{{_staged(_n - 1)}}}"""
+    # Only the text of the tracking link names the day, and it is not looked at.
+    STEPS |= {f"{name}_{_n + 1}": _later_day(STEPS[name], _n) for name in OF_A_DAY}
+
+
+def _staged_on(days: int) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '2020-02-{12 + n}' AS ds, cons_id, email, event_id,
+                   CAST(event_start_date AS VARCHAR) AS event_start_date FROM {{{_staged(n)}}}"""
+        for n in range(days)
+    )
+
 
 FIRST_NAME = """CASE WHEN lower(firstname) = 'machinery' THEN 'MacHinery'
     ELSE upper(substr(firstname, 1, 1)) || lower(substr(firstname, 2)) END"""
@@ -378,12 +397,8 @@ BODIES = {
                CAST(CAST(round(b.miles, 2) AS DECIMAL(10, 2)) AS DOUBLE) AS distance_to_event,
                f.event_url, f.formatted_start_times AS event_formatted_start_times
         FROM {{staged}} b JOIN {{features}} f ON f.event_id = b.event_id""",
-    "schedule_two_days": f"""
-        SELECT CAST({DAY} AS VARCHAR) AS ds, cons_id, email, event_id,
-               CAST(event_start_date AS VARCHAR) AS event_start_date FROM {{staged}}
-        UNION ALL
-        SELECT '2020-02-13', cons_id, email, event_id, CAST(event_start_date AS VARCHAR)
-        FROM {{staged_2}}""",
+    "schedule_two_days": _staged_on(2),
+    "schedule_eight_days": _staged_on(8),
     "next_timeslot_min": """
         SELECT event_id, strftime(start_timestamp, '%Y-%m-%d %H:%M:%S') AS start_timestamp,
                CAST(CAST(timezone('America/New_York', timezone('UTC', start_timestamp)) AS DATE) AS VARCHAR)

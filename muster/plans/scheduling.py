@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.config import MailingConfig
 from muster.functions import dates
 from muster.operators.keyed import without
 from muster.plans.events import event_features, score_events
-from muster.plans.matching import best_events
+from muster.plans.matching import best_by_person, best_events, described
 from muster.plans.people import build_constituents
 from muster.sources import schemas
 from muster.sources.ledger import Ledger
@@ -57,10 +57,10 @@ def invite_staging(
 def invite_candidates(
     cfg: MailingConfig, tables: Mapping[str, DataFrame], people: DataFrame | None = None
 ) -> DataFrame:
-    """Best event of everybody who has one in reach."""
+    """Best event of everybody who has one in reach.  ``people``, if given, are stored."""
     if people is None:
         people = cut(build_constituents(cfg, tables))
-    return best_events(people, score_events(event_features(cfg, tables)), cfg)
+    return best_events(people, cut(score_events(event_features(cfg, tables))), cfg)
 
 
 def as_payloads(staging: DataFrame, schema, prepared_at: dt.datetime) -> DataFrame:
@@ -126,14 +126,13 @@ def schedule_horizon(
 ) -> None:
     """The invite job for ``ds`` and the days after it.
 
-    Each day sees what the days before it scheduled, so they run in order; the
-    people are put together once for all of them.
+    All days are decided in one pass (``plan_horizon``); then each is published.
     """
     with intermediate(ledger.spark):
-        people = cut(build_constituents(cfg, tables))
+        staged = cut(plan_horizon(tables, ledger.schedulings(), ledger.sends(), cfg, days))
         for day in _days(cfg, days):
             with intermediate(ledger.spark):
-                schedule_invites(tables, ledger, day, run_ts, people)
+                publish(staged.where(F.col("ds") == F.lit(day.ds)), ledger, day, run_ts)
 
 
 def plan_horizon(
@@ -141,16 +140,62 @@ def plan_horizon(
     schedulings: DataFrame,
     sends: DataFrame,
     cfg: MailingConfig,
-    run_ts: dt.datetime,
     days: int = 7,
 ) -> DataFrame:
-    """What ``schedule_horizon`` would stage, without writing a ledger."""
+    """Who is written to on ``ds`` and each of the days after it.
+
+    The same as the invite job day by day, each seeing what the days before it
+    staged, but people are put together once, and their places are matched once
+    with the venues of all days.  Only the quiet period ties days to each other:
+    it is decided by address, over the days in order.
+    """
+    every = list(_days(cfg, days))
     people = cut(build_constituents(cfg, tables))
-    staged = []
-    for day in _days(cfg, days):
-        best = invite_candidates(day, tables, people)
-        staged.append(cut(invite_staging(best, schedulings, sends, day)))
-        schedulings = reset_schedulings(schedulings, sends, day).unionByName(
-            as_schedulings(staged[-1], run_ts)
-        )
-    return reduce(DataFrame.unionByName, staged)
+    by_day = [score_events(event_features(day, tables)) for day in every]
+    events = cut(reduce(DataFrame.unionByName, by_day))
+    best, won = best_by_person(people, events, cfg)
+    due = cut(best.where(F.col("event_start_date") == F.date_add("ds", cfg.invite_lead_days)))
+    staged = after_quiet_days(due, _history(schedulings, sends, every), cfg)
+    return described(staged, won, events, cfg)
+
+
+def _history(schedulings: DataFrame, sends: DataFrame, every: list[MailingConfig]) -> DataFrame:
+    """(email, ds) of the invitations that a horizon finds and does not replace.
+
+    Of its own days, those that have begun to be sent.
+    """
+    first, last = every[0], every[-1]
+    ours = schedulings.where(
+        (F.col("mailing_name") == first.mailing_name)
+        & F.col("secondary_id").isNull()
+        & F.col("ds").between(F.lit(first.quiet_start_ds), F.lit(last.ds))
+    ).select("email", "ds")
+    begun = sends.where(
+        (F.col("mailing_name") == first.mailing_name) & (F.col("ds") >= F.lit(first.ds))
+    ).select("ds")
+    before = ours.where(F.col("ds") < F.lit(first.ds))
+    return before.unionByName(ours.join(begun.distinct(), "ds", "left_semi").where(F.col("ds") >= F.lit(first.ds)))
+
+
+def after_quiet_days(due: DataFrame, history: DataFrame, cfg: MailingConfig) -> DataFrame:
+    """Rows of the days on which their address may be written to.
+
+    An address is written to on a day if it was not in the days before, as far as
+    the quiet period goes: neither by the history nor by what this scan has
+    decided for earlier days.  Whoever shares an address is written to on the
+    same days.  An address has as many elements as there are days, however many
+    rows it has.
+    """
+    days = due.groupBy("email").agg(F.array_sort(F.collect_set("ds")).alias("_asked"))
+    known = history.groupBy("email").agg(F.collect_set("ds").alias("_known"))
+    nothing = F.array().cast("array<date>")
+
+    def decide(written: Column, day: Column) -> Column:
+        before = F.concat(written, F.coalesce("_known", nothing))
+        quiet = F.exists(before, lambda d: (d > F.date_sub(day, cfg.quiet_period_days)) & (d <= day))
+        return F.when(quiet, written).otherwise(F.array_append(written, day))
+
+    written = F.aggregate("_asked", nothing, decide)
+    open_ = days.join(known, "email", "left").select("email", F.explode(written).alias("ds"))
+    # Without an address, nothing is known about earlier mail.
+    return due.join(open_, ["email", "ds"], "left_semi").unionByName(due.where(F.col("email").isNull()))

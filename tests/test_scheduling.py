@@ -2,9 +2,10 @@ import dataclasses
 import datetime as dt
 
 from muster.config import MailingConfig
-from muster.plans import approval, scheduling
+from muster.plans import approval, matching, scheduling
 from muster.sources import schemas
 from muster.sources.ledger import Ledger
+from muster.sources.scratch import cut
 from muster.sources.sample import APPROVAL, INVITE, RUN_TS as SAMPLE_TS
 from tests.helpers import DS, RUN_TS, at, plan_of, rows, table, world
 
@@ -122,6 +123,61 @@ def test_horizon_keeps_the_quiet_period(spark, tmp_path, sample):
         assert all((b - a).days >= INVITE.quiet_period_days for a, b in zip(several, several[1:]))
 
 
+def day_by_day(tables, schedulings, sends, cfg, days):
+    """The invite job for each day in turn, as the horizon must come out."""
+    found = []
+    for n in range(days + 1):
+        today = cfg.on(cfg.ds + dt.timedelta(days=n))
+        staged = cut(scheduling.invite_staging(scheduling.invite_candidates(today, tables), schedulings, sends, today))
+        found += rows(staged, *COMPARED)
+        kept = scheduling.reset_schedulings(schedulings, sends, today)
+        schedulings = kept.unionByName(scheduling.as_schedulings(staged, RUN_TS))
+    return sorted(found, key=repr)
+
+
+COMPARED = ("ds", "cons_id", "email", "event_id", "event_url", "distance_to_event", "event_csv_start_times")
+
+
+def test_horizon_equals_day_by_day(spark, sample):
+    known = sample["schedulings"].select(*schemas.SCHEDULINGS.fieldNames())
+    # Within the horizon, one day has begun to be sent and the other is replaced.
+    emails = [r.email for r in known.where("ds = '2020-02-11' AND cons_id IS NOT NULL").limit(4).collect()]
+    planned = scheduled(spark, *[dict(ds=day(n), email=e) for n in (13, 14) for e in emails], dict(ds=day(13), email=None))
+    known = known.unionByName(planned)
+    sends = sample["sends"].unionByName(table(spark, "SENDS", dict(ds=day(14), mailing_name="event_invite", email="z@x.org")))
+    staged = scheduling.plan_horizon(sample, known, sends, INVITE, days=4)
+    want = day_by_day(sample, known, sends, INVITE, days=4)
+    assert len({r[0] for r in want}) == 5 and len(want) > 60
+    assert rows(staged, *COMPARED) == want
+
+
+def test_who_shares_an_address_is_written_to_on_the_same_days(spark):
+    due = spark.createDataFrame(
+        [(day(n), i, email) for i, email, days in (
+            (1, "a", (12, 13, 15, 18)), (2, "a", (12, 14, 15)), (3, None, (12, 13)), (4, "b", (16, 17, 19, 20)),
+            (5, "c", (12,)),
+        ) for n in days],
+        "ds DATE, cons_id BIGINT, email STRING",
+    )
+    history = spark.createDataFrame([("b", day(14)), ("b", day(14)), ("c", day(10)), (None, day(12))], "email STRING, ds DATE")
+    got = rows(scheduling.after_quiet_days(due, history, CFG), "cons_id", "ds")
+    assert got == sorted(
+        [(1, day(12)), (2, day(12)), (1, day(15)), (2, day(15)), (1, day(18)), (3, day(12)), (3, day(13)),
+         (4, day(17)), (4, day(20))], key=repr)
+
+
+def test_horizon_matches_places_and_stores_people_once(spark, sample, monkeypatch):
+    written = []
+    for module in (scheduling, matching):
+        monkeypatch.setattr(module, "cut", lambda df: written.append(df.columns) or cut(df))
+    searches = []
+    search = matching.nearest_within_radius
+    monkeypatch.setattr(matching, "nearest_within_radius", lambda *a, **k: searches.append(1) or search(*a, **k))
+    scheduling.plan_horizon(sample, sample["schedulings"], sample["sends"], INVITE, days=3)
+    people = [columns for columns in written if {"firstname", "latitude"} <= {*columns} and "event_id" not in columns]
+    assert len(people) == 1 and len(searches) == 1
+
+
 def approved(spark, slot=at(20, 20), **event):
     tables = world(spark, [dict(id=1, **event)], [dict(id=1, event_id=1, start_date=slot)])
     cfg = dataclasses.replace(CFG, mailing_name="event_approval")
