@@ -48,9 +48,22 @@ def test_odd_rows_stay(spark, tmp_path):
     spark.createDataFrame([], "doc_id BIGINT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
     frames = stages_of(spark, str(tmp_path))
     assert sorted(map(tuple, frames[4].collect()), key=repr) == sorted(
-        [(None, "no id", "a"), (None, None, "b"), (1, None, "c"), (2, "", "d"), (3, "one two", "e")], key=repr
+        [(None, "no id", "a"), (None, None, "b"), (1, None, "c"), (2, "", "d"), (3, "three four", "f"),
+         (4, "one two", "g")], key=repr
     )
-    assert frames[5].select("doc_id").distinct().count() == 4
+    assert frames[5].select("doc_id").distinct().count() == 5
+
+
+def test_texts_of_one_id_are_documents_of_their_own(spark, tmp_path):
+    """An id that holds a third of all rows loses its copies and nothing else."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(12)) for i in range(20)]
+    rows = [(7, t, "hot") for t in texts] + [(7, texts[0], "hot")] * 5 + [(100 + i, t, "x") for i, t in enumerate(texts[:4])]
+    rows += [(200 + i, f"clean {i} " + "y z " * i, "x") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, kept STRING")
+    left = corpus_pipeline.remove_near_duplicates(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in left.collect() if r.doc_id < 200)
+    assert got == sorted([(100 + i, t) for i, t in enumerate(texts[:4])] + [(7, t) for t in texts[4:]])
 
 
 def test_no_documents(spark, tmp_path):
