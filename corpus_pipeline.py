@@ -24,24 +24,27 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; rows without id stay.
 
-    Of rows that repeat a kept id, one stays.
+    Rows that repeat an id are documents of their own where their texts differ;
+    of rows equal in id and text, one stays.
     """
-    found = neardup_texts.near_duplicates(docs.select("doc_id", "text"))
-    dropped = cut(found.where(~F.col("kept")).select("doc_id"))
-    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    return _one_row_per_id(left)
-
-
-def _one_row_per_id(docs: DataFrame) -> DataFrame:
-    repeated = cut(docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return docs
     number = free_name(docs, "row_number")
-    rows = cut(docs.join(repeated, "doc_id", "left_semi").withColumn(number, F.monotonically_increasing_id()))
-    order = F.struct(*(F.col(c) for c in docs.columns), number)
-    first = rows.groupBy("doc_id").agg(F.min(order).alias("row")).select("row.*")
-    single = docs.join(repeated, "doc_id", "left_anti")
-    return single.select(*docs.columns).unionByName(first.select(*docs.columns))
+    repeated = cut(docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id"))
+    numbered = docs.withColumn(number, F.col("doc_id"))
+    if not repeated.isEmpty():
+        single = numbered.join(repeated, "doc_id", "left_anti").select(*numbered.columns)
+        numbered = single.unionByName(_numbered_texts(docs, repeated, number))
+    found = neardup_texts.near_duplicates(numbered.select(F.col(number).alias("doc_id"), "text"))
+    dropped = cut(found.where(~F.col("kept")).select(F.col("doc_id").alias(number)))
+    return numbered.join(dropped, number, "left_anti").select(*docs.columns)
+
+
+def _numbered_texts(docs: DataFrame, repeated: DataFrame, number: str) -> DataFrame:
+    """One row for each text of the ids, under numbers that no document has."""
+    rows = docs.join(repeated, "doc_id", "left_semi")
+    row = F.min(F.struct(*docs.columns)).alias("row")
+    texts = rows.groupBy(F.col("doc_id"), F.col("text")).agg(row).select("row.*").select(*docs.columns)
+    last = docs.agg(F.max("doc_id").alias("last")).first().last
+    return cut(texts.withColumn(number, F.lit(last + 1) + F.monotonically_increasing_id()))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
