@@ -43,7 +43,7 @@ WINDOW = 2048
 END_ID = 1
 CLASS = 32
 BLOCK_TOKENS = 1 << 22
-MEMORY_BYTES = 48 << 20  # a Python worker keeps at most two generations of so much
+MEMORY_BYTES = 32 << 20  # a Python worker keeps at most two generations of so much
 _SEQUENCE_BITS = 40
 
 # The letter that stands for each byte in a byte-level BPE: itself if it can be
