@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.llm import neardup_texts, packing, pii, suffix_dedup, toxicity
-from muster.llm.frames import free_name, read_table
+from muster.llm.frames import bound_batches, free_name, read_table
 from muster.sources.scratch import cut
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose nearest labelled examples aren't toxic."""
+    bound_batches(spark)
     return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
@@ -27,6 +28,7 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Rows that repeat an id are documents of their own where their texts differ;
     of rows equal in id and text, one stays.
     """
+    bound_batches(spark)
     number = free_name(docs, "row_number")
     repeated = cut(docs.groupBy("doc_id").count().where("doc_id IS NOT NULL AND count > 1").select("doc_id"))
     numbered = docs.withColumn(number, F.col("doc_id"))
@@ -49,16 +51,19 @@ def _numbered_texts(docs: DataFrame, repeated: DataFrame, number: str) -> DataFr
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of fifty words or more that an earlier document has."""
+    bound_batches(spark)
     return suffix_dedup.cut_repeats(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
+    bound_batches(spark)
     return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents in windows of 2048."""
+    bound_batches(spark)
     return packing.pack(docs, with_ids=False)
 
 
