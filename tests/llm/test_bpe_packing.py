@@ -11,7 +11,9 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from muster.llm import byte_bpe, packing
-from muster.llm.pretokens import Memory
+from muster.llm.frames import bound_batches
+from muster.llm.pretokens import Memory, spelt, stretch_of, stretches, words_of
+from tests.llm.conftest import EDGE_TEXTS
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +40,37 @@ def test_memory_keeps_what_one_call_needs():
     assert asked == list("abcdefghb")
 
 
+@pytest.mark.parametrize("memory", [0, 400, 1 << 25])
+def test_ids_do_not_depend_on_what_is_kept(monkeypatch, tokenizer, memory):
+    monkeypatch.setattr(packing, "MEMORY_BYTES", memory)
+    spaces = ["a  b", "a \n b", " \n", "a\n  b", "a\n b", "x \x1c y", "a\u3000 b", " ", " a ", "a  ", "\t \t x", "a ", "a\xa0 \x85b"]
+    texts = [t or "" for t in EDGE_TEXTS] + spaces + ["it's 'll they'll, \"quoted\" <|endoftext|> x", "naïve Straße 日本 語"]
+    encode = packing.Tokens(public_tokenizers.path(packing.TOKENIZER)).encode
+    for _ in range(2):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts * 3)]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts * 3]
+
+
+@given(st.text(alphabet=" ab\n\t1,.'s\x1cé日", max_size=30))
+def test_stretches_hold_the_words_of_their_text(text):
+    parts = stretches(text)
+    if parts is not None:
+        assert [w for part in parts for w in words_of(spelt(part))] == words_of(text)
+        assert all(spelt(stretch_of(w)) == w for w in words_of(text))
+
+
+def test_batches_are_bounded_unless_the_session_has_its_own(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given_size, kept in (("10000", "1000"), ("77", "77")):
+            spark.conf.set(name, given_size)
+            bound_batches(spark)
+            assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_codec_equals_tiktoken(reference):
     words = ["aaaaaaaaa", "aaaaaaaa", "abababab", " hello", "zzz" * 40, "é" * 9, "日本語", "!!!???", "x"]
     codec = byte_bpe.Codec(public_tokenizers.path(byte_bpe.RANKS))
