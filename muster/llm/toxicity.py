@@ -47,6 +47,7 @@ from muster.llm.frames import free_name, id_and_text, utf8
 SAMPLE = 2048
 FLOOR = 0.2  # of a term's weight, beside the root of its likelihood ratio
 BLOCK = 64
+CROWDED = 16
 NEIGHBOURS = 15
 PRIOR_VOTE = 1.0
 REJECTED_FROM = 0.7
@@ -111,7 +112,12 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class BlockMaxIndex:
-    """Postings by term and block of examples, with the largest weight of each."""
+    """Postings by term and block of examples, with the largest weight of each.
+
+    Terms of one example in ``CROWDED`` and more are rows of a matrix instead, as
+    no block could be passed over for their sake: one product gives what they add
+    to every cosine, and the blocks' bounds start from that.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         self.n = len(vectors)
@@ -120,6 +126,12 @@ class BlockMaxIndex:
         terms = np.concatenate([np.zeros(0, dtype=np.int64), *(t for t, _ in vectors)])
         weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
         examples = np.repeat(np.arange(self.n), sizes)
+        crowded = np.bincount(terms, minlength=n_terms) * CROWDED >= max(self.n, CROWDED)
+        self.row = np.where(crowded, np.cumsum(crowded) - 1, -1)
+        self.rows = np.zeros((int(crowded.sum()), self.blocks * block))
+        here = crowded[terms]
+        self.rows[self.row[terms[here]], examples[here]] = weights[here]
+        terms, weights, examples = terms[~here], weights[~here], examples[~here]
         order = np.argsort(terms, kind="stable")  # examples ascend within a term
         terms, self.weights, self.examples = terms[order], weights[order], examples[order]
         pairs = terms * self.blocks + self.examples // block
@@ -138,13 +150,19 @@ class BlockMaxIndex:
         """The k examples of highest positive cosine, ties to the earlier one, and their cosines."""
         if not len(terms) or not self.n:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
+        rows = self.row[terms]
+        crowded = rows >= 0
+        start = weights[crowded] @ self.rows[rows[crowded]]
+        terms, weights = terms[~crowded], weights[~crowded]
         pairs, sizes = _ranges(self.term_start[terms], self.term_start[terms + 1])
         weights, blocks = np.repeat(weights, sizes), self.pair_block[pairs]
-        bounds = np.bincount(blocks, weights * self.pair_largest[pairs], self.blocks)
+        most = start.reshape(self.blocks, -1).max(axis=1)
+        bounds = most + np.bincount(blocks, weights * self.pair_largest[pairs], self.blocks)
+        scores = start[: self.n]  # below the cosine in blocks that aren't tried
         tried = np.zeros(self.blocks, dtype=bool)
         tried[np.argsort(-bounds, kind="stable")[:4]] = True
         held = tried[blocks]
-        scores = self._scores(pairs[held], weights[held])
+        scores = scores + self._scores(pairs[held], weights[held])
         if without >= 0:
             scores[without] = 0
         kth = np.partition(scores, self.n - k)[self.n - k] if self.n >= k else 0.0
