@@ -4,7 +4,7 @@ A generalised suffix automaton holds the words of all templates.  Each text is
 streamed through it once; the longest template factor ending at each word is
 its matching statistic.  Factors of ``MIN_MATCH`` words or more that cannot be
 extended are chained, in template order, into spans, and a span that covers
-enough of a template gives its label.  Places of the base phrases are read off
+enough of a template gives its label; a notice that stands twice is two spans.  Places of the base phrases are read off
 the same statistics: a phrase stands where its state is a suffix of the match.
 
 The automaton has a few hundred states whatever the data; each task streams its
@@ -100,35 +100,46 @@ class Scanner:
         base: list[tuple[int, str]] = []
         chains: dict[int, list] = {}
         best: dict[int, tuple] = {}
+        closed: set[tuple] = set()
         held = None  # the longest factor so far of which the next may be an extension
         for place, state, length in self.automaton.statistics(words, places):
             for size, label in self.phrases_at[state]:
                 if length >= size:
                     base.append((place + 1 - size, label))
             if held and not (place == held[0] + 1 and length == held[2] + 1):
-                self._chain(chains, best, *held)
+                self._chain(chains, best, closed, *held)
             held = (place, state, length)
         if held:
-            self._chain(chains, best, *held)
-        spans = sorted((self.names[t], s, e, c / self.sizes[t]) for t, (c, s, e) in best.items())
+            self._chain(chains, best, closed, *held)
+        for number, chain in chains.items():
+            self._close(closed, number, chain)
+        closed |= {(t, *b) for t, b in best.items()}
+        spans = sorted((self.names[t], s, e, c / self.sizes[t]) for t, c, s, e in closed)
         return words, base, spans
 
-    def _chain(self, chains, best, place, state, length):
+    def _close(self, closed, number, chain):
+        """Keeps a chain that goes on no longer, if it covers enough of its template."""
+        if chain[0] >= self.min_coverage * self.sizes[number]:
+            closed.add((number, chain[0], chain[1], chain[4]))
+
+    def _chain(self, chains, best, closed, place, state, length):
         if length < MIN_MATCH:
             return
         start, end = place + 1 - length, place + 1
         for number, at in self.automaton.ends[state].items():
             if number >= len(self.sizes):
                 continue
-            # [covered words, first word, last word's end, template place reached]
+            # [covered words, first word, last word's end, template place reached, end of what is covered]
             chain = chains.get(number)
             if chain and at > chain[3] and start - chain[2] <= MAX_GAP:
-                new = min(length, at - chain[3], end - chain[2])
-                chains[number] = chain = [chain[0] + max(0, new), chain[1], end, at]
+                new = max(0, min(length, at - chain[3], end - chain[2]))
+                chains[number] = chain = [chain[0] + new, chain[1], end, at, end if new else chain[4]]
             else:
-                chains[number] = chain = [length, start, end, at]
+                if chain:
+                    self._close(closed, number, chain)
+                chains[number] = chain = [length, start, end, at, end]
             if chain[0] > best.get(number, (0,))[0]:
-                best[number] = (chain[0], chain[1], chain[2])
+                best[number] = (chain[0], chain[1], chain[4])
 
     def row(self, text: bytes):
         words, base, spans = self.scan(text)

@@ -62,3 +62,13 @@ def test_spans_cover_templates_with_gaps(spark):
     span = row.spans[0]
     assert (row.labels, span.start, span.end) == ("bsd", 1, len(licenses.words_of(text.encode())) - 1)
     assert span.coverage > 0.8
+
+
+def test_each_notice_is_a_span():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.BASE_PHRASES, licenses.MIN_COVERAGE)
+    notice = licenses.TEMPLATES["mit"][1]
+    size = len(notice.split())
+    for between in (0, 5, 200):
+        text = " ".join([notice, *["filler"] * between] * 3)
+        spans = [(s["start"], s["end"], s["coverage"]) for s in scanner.row(text.encode())[-1] if s["label"] == "mit"]
+        assert spans == [(n * (size + between), n * (size + between) + size, 1.0) for n in range(3)]
