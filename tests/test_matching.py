@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from muster.config import MailingConfig
 from muster.functions import geo
 from muster.operators.skew import join_crowds
+from muster.operators import spatial
 from muster.operators.spatial import within_radius
 from muster.plans import matching, scheduling
 from muster.plans.events import event_features, score_events
@@ -164,3 +165,16 @@ def test_who_is_left_out(spark):
     people = build_constituents(CFG, tables)
     assert rows(people, "cons_id") == [(5,), (6,)]
     assert "LeftAnti" in plan_of(people)
+
+
+def test_crowded_cells_copy_neither_side_to_all_tasks(spark):
+    def places(names, n):
+        return spark.range(n).selectExpr(
+            "id", f"'FL' AS {names.state}", f"28.0D AS {names.latitude}", f"-81.0D + id / 1e6 AS {names.longitude}")
+
+    left, right = (places(p, 100).withColumn("_cell", F.lit(1)) for p in (spatial.PERSON, spatial.VENUE))
+    left, right = spatial._split_crowded_cells(left, right, spatial.PERSON, spatial.VENUE, 100)
+    # A hundred tasks: copied to all of them, the venues alone would be 10,000 rows.
+    assert left.count() == right.count() == 1000
+    pairs = left.alias("l").join(right.alias("r"), ["_cell", "_salt"]).select("l.id", F.col("r.id").alias("venue"))
+    assert pairs.count() == pairs.distinct().count() == 10_000
