@@ -151,8 +151,10 @@ def plan_horizon(
     """
     every = list(_days(cfg, days))
     people = cut(build_constituents(cfg, tables))
-    by_day = [score_events(event_features(day, tables)) for day in every]
-    events = cut(reduce(DataFrame.unionByName, by_day))
+    # Stored day by day: in one plan, Spark reads what all days have shuffled in common
+    # tasks, and few of them.
+    by_day = [cut(score_events(event_features(day, tables))) for day in every]
+    events = reduce(DataFrame.unionByName, by_day)
     best, won = best_by_person(people, events, cfg)
     due = cut(best.where(F.col("event_start_date") == F.date_add("ds", cfg.invite_lead_days)))
     staged = after_quiet_days(due, _history(schedulings, sends, every), cfg)

@@ -235,3 +235,17 @@ def test_counts_of_the_documented_sample(spark, sample):
     mailed = fifth(sample["org_events"], "id").where("id % 20 = 0").selectExpr(
         "creator__email_address AS email", "id AS secondary_id", "'event_approval' AS mailing_name")
     assert (approved.count(), approval.approval_staging(approved, mailed).count()) == (13, 2)
+
+
+def test_horizon_stores_each_day_by_itself(spark, sample, monkeypatch):
+    stored, cut = [], scheduling.cut
+
+    def seen(df):
+        stored.append(df)
+        return cut(df)
+
+    monkeypatch.setattr(scheduling, "cut", seen)
+    scheduling.plan_horizon(sample, sample["schedulings"], sample["sends"], INVITE, 2)
+    days = [df for df in stored if "score_event" in df.columns and "cons_id" not in df.columns]
+    assert [[str(row.ds) for row in df.select("ds").distinct().collect()] for df in days] == [
+        ["2020-02-12"], ["2020-02-13"], ["2020-02-14"]]
