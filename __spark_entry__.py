@@ -282,11 +282,16 @@ def approval_staging(t, _spark):
     return staged.select("email", "secondary_id", "event_url")
 
 
-def _arrived(t, spark, name, files):
-    """The folder of a table that arrives as some files."""
+ARRIVING_ROWS = 250_000  # of a table, written by one task
+
+
+def _arrived(t, spark, name, batches):
+    """The folder of a table that arrives in some batches, and the files of each."""
     folder = new_folder(spark, name)
-    t[name].select(*schemas.INPUTS[name].fieldNames()).repartition(files).write.parquet(folder)
-    return folder
+    rows = t[name].select(*schemas.INPUTS[name].fieldNames())
+    files = max(1, -(-rows.count() // (batches * ARRIVING_ROWS)))
+    rows.repartition(batches * files).write.parquet(folder)
+    return folder, files
 
 
 def _mailed(ledger):
@@ -298,9 +303,9 @@ def _mailed(ledger):
 
 def approval_stream(t, spark):
     """All events arrive as files and run through the stream into a ledger."""
-    ledger, folder = new_ledger(t, spark), _arrived(t, spark, "org_events", 4)
+    ledger, (folder, files) = new_ledger(t, spark), _arrived(t, spark, "org_events", 2)
     query = mail_approvals(
-        changed_events(spark, folder, max_files_per_trigger=2), lambda: t, ledger, APPROVAL,
+        changed_events(spark, folder, max_files_per_trigger=files), lambda: t, ledger, APPROVAL,
         new_folder(spark, "progress"), lambda: RUN_TS,
     )
     query.awaitTermination()
@@ -310,12 +315,13 @@ def approval_stream(t, spark):
 def approval_stream_late_timeslots(t, spark):
     """Events arrive in one batch, and their timeslots in three, two of them later."""
     ledger = new_ledger(t, spark)
-    arrived, slots = (_arrived(t, spark, name, n) for name, n in (("org_events", 2), ("timeslots", 3)))
+    arrived, events_at_once = _arrived(t, spark, "org_events", 1)
+    slots, slots_at_once = _arrived(t, spark, "timeslots", 3)
     others = {name: table for name, table in t.items() if name not in ("org_events", "timeslots")}
     query = mail_approvals(
-        changed_events(spark, arrived, max_files_per_trigger=2), lambda: others, ledger, APPROVAL,
+        changed_events(spark, arrived, max_files_per_trigger=events_at_once), lambda: others, ledger, APPROVAL,
         new_folder(spark, "progress"), lambda: RUN_TS,
-        changed_timeslots(spark, slots, max_files_per_trigger=1),
+        changed_timeslots(spark, slots, max_files_per_trigger=slots_at_once),
     )
     query.awaitTermination()
     return _mailed(ledger)

@@ -2,6 +2,7 @@ import datetime as dt
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from muster.config import MailingConfig
 from muster.plans import approval
@@ -158,3 +159,14 @@ def test_clean_up_keeps_to_its_thread(spark):
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
         own.collect()
     assert made["other"].count() == 4
+
+
+def test_tables_arrive_in_files_of_bounded_rows(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "ARRIVING_ROWS", 10)
+    slots = table(spark, "timeslots", *[dict(id=i, event_id=i) for i in range(120)])
+    folder, files = entry._arrived({"timeslots": slots}, spark, "timeslots", 3)
+    assert files == 4
+    sizes = spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) == 12 and max(row[1] for row in sizes) <= 20
