@@ -52,6 +52,7 @@ END_ID = 0
 GROUPS = 64
 SMALL = 8
 CLOSE = 1e-4  # by so much the linear programme may miss its optimum
+MEMORY_BYTES = 128 << 20  # of stretches in a generation; no other stage shares these Python workers
 _NUMBER_BITS = 44  # of a piece among those of its length
 
 # (length, number of the first piece, pieces, first sequence, offset)
@@ -287,7 +288,7 @@ def pieces(
 
         for batch in batches:
             rows, held = [], 0
-            ids_of = tokens(path).encode(text.decode() for text in utf8(batch.column("text")))
+            ids_of = tokens(path, MEMORY_BYTES).encode(text.decode() for text in utf8(batch.column("text")))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
                 own = memoryview(ids + end)
                 size = len(own) // 4

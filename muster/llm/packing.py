@@ -188,7 +188,8 @@ class _Known(dict):
 class Tokens:
     """Ids of texts (little-endian unsigned 32-bit) by the ``tokenizers`` library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY_BYTES):
+        self.memory = memory
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -218,7 +219,7 @@ class Tokens:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            if self.young.held > MEMORY_BYTES:
+            if self.young.held > self.memory:
                 self.young, self.old = _Known(self._find), self.young
             parts = stretches(text)
             if parts is None:
@@ -228,9 +229,9 @@ class Tokens:
 
 
 @lru_cache(maxsize=1)
-def tokens(path: str) -> Tokens:
+def tokens(path: str, memory: int = MEMORY_BYTES) -> Tokens:
     """One per Python worker, so that its memory of words outlives a task."""
-    return Tokens(path)
+    return Tokens(path, memory)
 
 
 def _blocks(documents: Iterable[tuple], most: int) -> Iterator[list[tuple]]:

@@ -154,3 +154,12 @@ def test_packing_does_not_depend_on_tasks(small_docs):
         for n in (1, 9)
     }
     assert len(counts) == 1
+
+
+def test_memory_of_stretches_is_the_operators_own():
+    from muster.llm.packing import TOKENIZER, Tokens
+
+    held = [Tokens(best_fit.public_tokenizers.path(TOKENIZER), n) for n in (1, best_fit.MEMORY_BYTES)]
+    for known in held:
+        list(known.encode(["some words", "others", "more of them"]))
+    assert [bool(known.old) for known in held] == [True, False]
