@@ -15,6 +15,8 @@ from muster.llm import neardup_texts, packing, pii, suffix_dedup, toxicity
 from muster.llm.frames import bound_batches, free_name, read_table
 from muster.sources.scratch import cut
 
+PACKING_MEMORY = 32 << 20  # the stages before leave their executors little
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose nearest labelled examples aren't toxic."""
@@ -64,7 +66,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of tokenised documents in windows of 2048."""
     bound_batches(spark)
-    return packing.pack(docs, with_ids=False)
+    return packing.pack(docs, with_ids=False, memory=PACKING_MEMORY)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

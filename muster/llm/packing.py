@@ -43,7 +43,8 @@ WINDOW = 2048
 END_ID = 1
 CLASS = 32
 BLOCK_TOKENS = 1 << 22
-MEMORY_BYTES = 32 << 20  # a Python worker keeps at most two generations of so much
+MEMORY_BYTES = 128 << 20  # of stretches: a Python worker keeps at most two generations of so much
+MARKS = frozenset(",.;:!?")  # each after a letter begins a match of its own
 _SEQUENCE_BITS = 40
 
 # The letter that stands for each byte in a byte-level BPE: itself if it can be
@@ -211,6 +212,8 @@ class Tokens:
             return self.old[stretch]
         if stretch.isalpha():
             return self._word(" " + stretch)
+        if stretch[-1:] in MARKS and stretch[:-1].isalpha():
+            return self.young[stretch[:-1]] + self.young[stretch_of(stretch[-1])]
         words = words_of(spelt(stretch))
         return self._words(words) if len(words) != 1 else self._word(words[0])
 
@@ -253,11 +256,13 @@ def pack(
     tokenizer: str | None = None,
     window: int = WINDOW,
     with_ids: bool = True,
+    memory: int = MEMORY_BYTES,
 ) -> DataFrame:
     """Pieces of tokenised documents and their places in sequences of up to ``window`` ids.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset and, if wanted, the ids.  ``window`` is a power of two.
+    ``memory`` bounds what a Python worker remembers of stretches; less of it is more time.
     """
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     end = np.array([END_ID], dtype="<u4").tobytes()
@@ -268,7 +273,7 @@ def pack(
             texts = list(utf8(batch.column("text")))
             for at in range(0, len(texts), 256):
                 some = [t.decode() for t in texts[at : at + 256]]
-                for number, ids in zip(numbers[at : at + 256], tokens(path).encode(some), strict=True):
+                for number, ids in zip(numbers[at : at + 256], tokens(path, memory).encode(some), strict=True):
                     yield number, ids + end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
