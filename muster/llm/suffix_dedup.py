@@ -11,7 +11,8 @@
    least document of each hash is found by an aggregation, so that a passage in
    a third of all documents, or often in one, is combined before it moves; hashes
    of one document only are left out, and the rest is joined back.  A window that
-   a smaller id holds is a repeat.
+   a smaller id holds is a repeat.  Where texts are shuffled to meet their anchors or
+   spans, a filter of ``FILTER_BITS`` bits keeps those that have none where they are.
 5. Overlapping repeats of a document are merged.  Their union is exact but for
    equal hashes of different windows.
 
@@ -39,6 +40,7 @@ MIN_WORDS = 50
 GRAM = 10
 WINDOW = MIN_WORDS - GRAM + 1
 SMALL_BYTES = 1 << 20  # of a table that is broadcast; a larger one grows with the input, so it is shuffled
+FILTER_BITS = 1 << 24  # of the hashes of keys; broadcast in words of 64
 _TASK_ROWS = 1_000_000  # repeated windows sorted in one task
 
 
@@ -139,6 +141,32 @@ def _matching(rows: DataFrame, keys: DataFrame, on, n_bytes: int, how: str = "in
     return rows.join(F.broadcast(keys) if n_bytes <= SMALL_BYTES else keys, on, how)
 
 
+def _possible(rows: DataFrame, keys: DataFrame, on: list[str], name: str) -> DataFrame:
+    """``rows`` with a column ``name``: whether their key can be among ``keys``, by one bit for each hash.
+
+    Never false for one that is; the bits are as many however many keys there are.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
+    word, bit, bits = (free_name(rows, f"{name}_{n}") for n in ("word", "bit", "bits"))
+    known = keys.select(place.alias(bit)).select(F.expr(f"`{bit}` div 64").alias(word), F.expr(f"cast(`{bit}` % 64 as int)").alias(bit))
+    known = known.groupBy(word).agg(F.expr(f"bit_or(shiftleft(1L, `{bit}`))").alias(bits))
+    asked = rows.withColumn(bit, place).withColumn(word, F.expr(f"`{bit}` div 64"))
+    asked = asked.join(F.broadcast(known), word, "left")
+    return asked.withColumn(name, F.expr(f"coalesce(getbit(`{bits}`, cast(`{bit}` % 64 as int)) = 1, false)")).drop(word, bit, bits)
+
+
+def _matching_texts(texts: DataFrame, keys: DataFrame, on: list[str], n_bytes: int, how: str = "inner") -> DataFrame:
+    """``_matching``, but of the texts only those are shuffled whose key can be among ``keys``."""
+    if n_bytes <= SMALL_BYTES:
+        return _matching(texts, keys, on, n_bytes, how)
+    name = free_name(texts, "possible")
+    asked = _possible(texts, keys, on, name)
+    joined = _matching(asked.where(name).drop(name), keys, on, n_bytes, how)
+    if how == "inner":
+        return joined
+    return joined.unionByName(asked.where(~F.col(name)).drop(name), allowMissingColumns=True)
+
+
 def _tag(print_: str | Column) -> Column:
     """Tells the texts of one id apart, in eight bytes."""
     return F.xxhash64(print_)
@@ -170,8 +198,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
         .distinct()
     )
-    places = classes.select("id", "print", F.explode(F.arrays_zip("at", "keys")).alias("p")).select(
-        "id", "print", "p.at", F.col("p.keys").alias("key")
+    places = classes.select("id", _tag("print").alias("tag"), F.explode(F.arrays_zip("at", "keys")).alias("p")).select(
+        "id", "tag", "p.at", F.col("p.keys").alias("key")
     )
     shared = cut(
         places.groupBy("key")
@@ -181,12 +209,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     kept = cut(
         _matching(places, shared, "key", 50 * shared.count())
-        .groupBy(F.col("id").alias("doc_id"), "print")
+        .groupBy(F.col("id").alias("doc_id"), "tag")
         .agg(F.sort_array(F.collect_list("at")).alias("places"))
     )
     size = kept.agg(F.sum(F.size("places")).alias("n"), F.count("*").alias("rows")).first()
-    chosen = _matching(texts, kept, ["doc_id", "print"], 4 * (size.n or 0) + 100 * size.rows)
-    windows = cut(_windows(chosen.withColumn("tag", _tag("print"))))
+    chosen = _matching_texts(texts.withColumn("tag", _tag("print")), kept, ["doc_id", "tag"], 4 * (size.n or 0) + 100 * size.rows)
+    windows = cut(_windows(chosen))
     held = cut(
         windows.groupBy("window")
         .agg(F.min("id").alias("source"), F.max("id").alias("high"))
@@ -237,7 +265,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found, number, tag = (free_name(docs, n) for n in ("repeat_spans", "repeat_id", "repeat_tag"))
     spans = spans.select(F.col("doc_id").alias(number), F.col("tag").alias(tag), F.col("spans").alias(found))
     known = docs.withColumns({number: F.col(id_col).cast("bigint"), tag: _tag(F.md5(F.col(text_col)))})
-    known = _matching(known, spans, [number, tag], 40 * (size.n or 0) + 100 * size.rows, "left")
+    known = _matching_texts(known, spans, [number, tag], 40 * (size.n or 0) + 100 * size.rows, "left")
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"[^ \t-\r]+[ \t-\r]*"), 0)
     left = F.filter(
         words, lambda _, i: ~F.exists(F.col(found), lambda s: (i >= s["start"]) & (i < s["end"]))
