@@ -24,7 +24,7 @@ from muster.llm import (
     toxicity,
     warc,
 )
-from muster.llm.frames import read_table
+from muster.llm.frames import bound_batches, read_table
 from muster.sources.scratch import new_folder
 
 
@@ -81,6 +81,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return best_fit.pack(docs, with_ids=False)
 

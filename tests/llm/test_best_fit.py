@@ -163,3 +163,16 @@ def test_memory_of_stretches_is_the_operators_own():
     for known in held:
         list(known.encode(["some words", "others", "more of them"]))
     assert [bool(known.old) for known in held] == [True, False]
+
+
+def test_the_query_bounds_its_batches(spark):
+    from muster.llm.queries import op11_best_fit
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10000")
+        op11_best_fit(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.set(name, before)
