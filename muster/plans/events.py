@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import ChainMap
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.config import MailingConfig
@@ -37,19 +38,26 @@ def rsvp_counts(participations: DataFrame) -> DataFrame:
 def _of_slots(participations: DataFrame, slots: DataFrame) -> DataFrame:
     """Participations in the slots, so that the RSVPs of all other days aren't
     counted and moved; without the filter beyond so many slots, when counting
-    before moving is cheaper than moving to filter."""
-    wanted = cut(slots.select(F.col("id").alias("timeslot_id")))
+    before moving is cheaper than moving to filter.  ``slots`` are stored."""
+    wanted = slots.select(F.col("id").alias("timeslot_id"))
     if wanted.count() > MAX_BROADCAST_SLOTS:
         return participations
     return participations.join(F.broadcast(wanted), "timeslot_id", "left_semi")
 
 
-def next_timeslots(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> DataFrame:
+def next_timeslots(
+    cfg: MailingConfig,
+    tables: Mapping[str, DataFrame],
+    next_on: tuple[dt.date, dt.date] | None = None,
+) -> DataFrame:
     """Next timeslot of each event in the showcase days, and texts on all of them.
 
     Days are days of the calendar zone; texts are in the zone of the event.
+    ``next_on``, a first day and the day after the last: only events whose next
+    timeslot is on these days; for others no texts are made.
     """
-    upcoming = (
+    # Read twice, and to be found among all timeslots.
+    upcoming = cut(
         tables["timeslots"]
         .where(
             F.col("deleted_date").isNull()
@@ -64,6 +72,15 @@ def next_timeslots(cfg: MailingConfig, tables: Mapping[str, DataFrame]) -> DataF
     rsvps = rsvp_counts(_of_slots(tables["participations"], upcoming)).withColumnRenamed("timeslot_id", "id")
     zones = tables["org_events"].select(F.col("id").alias("event_id"), "timezone")
     slots = upcoming.join(rsvps, "id", "left").join(zones, "event_id")
+    if next_on:
+        # The join has brought an event's slots together, in order: this moves nothing.
+        first = F.min("start_date").over(Window.partitionBy("event_id"))
+        next_day, (first_day, end) = F.col("_next_day"), next_on
+        slots = (
+            slots.withColumn("_next_day", dates.day_in_zone(first, cfg.calendar_zone))
+            .where((next_day >= F.lit(first_day)) & (next_day < F.lit(end)))
+            .drop("_next_day")
+        )
     slot = F.col("first_slot")
     spots = slot["max_attendees"] - F.coalesce(slot["rsvp_count"], F.lit(0).cast("long"))
     return _describe(_slot_texts(cfg, slots)).select(
@@ -189,8 +206,9 @@ def event_features(
     """Advertisable events that start in the event window, described."""
     events = advertisable(cfg, tables)
     if next_slots is None:
-        # Only what can be advertised needs texts.
-        next_slots = next_timeslots(cfg, ChainMap({"org_events": events}, tables))
+        # Only what can be advertised, and starts in the window, needs texts.
+        days = cfg.event_ds, cfg.window_end_ds
+        next_slots = next_timeslots(cfg, ChainMap({"org_events": events}, tables), days)
     starting = next_slots.where(
         (F.col("start_date") >= F.lit(cfg.event_ds))
         & (F.col("start_date") < F.lit(cfg.window_end_ds))

@@ -32,6 +32,26 @@ def test_day_belongs_to_the_calendar_zone(spark):
     assert got == [(1, EVENT_DS)]
 
 
+def test_only_events_whose_next_slot_is_in_the_window_are_described(spark):
+    tables = world(spark, [dict(id=1), dict(id=2), dict(id=3)],
+                   [dict(id=10, event_id=1, start_date=at(15, 20)), dict(id=11, event_id=1, start_date=at(18, 20)),
+                    dict(id=20, event_id=2, start_date=at(18, 20)), dict(id=30, event_id=3, start_date=at(18, 4, 30))])
+    every = rows(events.next_timeslots(CFG, tables), "event_id", "next_timeslot_id", "csv_start_times")
+    inside = events.next_timeslots(CFG, tables, (CFG.event_ds, CFG.window_end_ds))
+    assert [row[0] for row in every] == [1, 2, 3]
+    assert rows(inside, "event_id", "next_timeslot_id", "csv_start_times") == [every[0], every[2]]
+    assert rows(events.event_features(CFG, tables), "event_id") == [(1,), (3,)]
+
+
+def test_timeslots_are_searched_once(spark, tmp_path):
+    tables = world(spark, [dict(id=1)], [dict(id=10, event_id=1, start_date=at(15, 20))])
+    tables["timeslots"].write.parquet(f"{tmp_path}/timeslots")
+    stored = dict(tables, timeslots=spark.read.parquet(f"{tmp_path}/timeslots"))
+    found = events.next_timeslots(CFG, stored)
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
+    assert rows(found) == rows(events.next_timeslots(CFG, tables))
+
+
 def test_utc_range_equals_local_days(spark):
     """The range on the stored column against the local day, over DST changes."""
     hours = [dt.datetime(2020, month, 1) + dt.timedelta(minutes=30 * n)
