@@ -165,14 +165,16 @@ def test_memory_of_stretches_is_the_operators_own():
     assert [bool(known.old) for known in held] == [True, False]
 
 
-def test_the_query_bounds_its_batches(spark):
+def test_the_query_bounds_its_batches(spark, tmp_path):
     from muster.llm.queries import op11_best_fit
 
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(1, "a b, c"), (2, None)], "doc_id BIGINT, text STRING")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
     before = spark.conf.get(name)
     try:
         spark.conf.set(name, "10000")
-        op11_best_fit(spark, "/root/testdata/sf0.001")
+        assert op11_best_fit(spark, str(tmp_path)).count() == 2
         assert spark.conf.get(name) == "1000"
     finally:
         spark.conf.set(name, before)
