@@ -178,3 +178,44 @@ def test_crowded_cells_copy_neither_side_to_all_tasks(spark):
     assert left.count() == right.count() == 1000
     pairs = left.alias("l").join(right.alias("r"), ["_cell", "_salt"]).select("l.id", F.col("r.id").alias("venue"))
     assert pairs.count() == pairs.distinct().count() == 10_000
+
+
+def test_only_listings_in_cells_with_people_are_moved(spark, monkeypatch):
+    moved, split = [], spatial._split_crowded_cells
+
+    def watched(left, right, *others):
+        moved.append((left, right, *split(left, right, *others)))
+        return moved[-1][2:]
+
+    monkeypatch.setattr(spatial, "_split_crowded_cells", watched)
+    people = spark.createDataFrame(
+        [(1, "A", 30.0, -100.0), (2, "A", 30.0, -90.0)],
+        "cons_id int, state_cd string, latitude double, longitude double")
+    venues = spark.createDataFrame(
+        [(1, "A", 30.0, -100.0), (2, "B", 30.0, -100.0), (3, "A", 40.0, -100.0)],
+        "event_id int, event_state string, event_latitude double, event_longitude double")
+    pairs = within_radius(people, venues, 25.0, max_broadcast_bytes=0)
+    assert rows(pairs, "cons_id", "event_id") == [(1, 1)]
+    ((_, listed, left, right),) = moved
+    # Of the 27 listings of each venue, one is where somebody is; nobody else has a venue.
+    assert (listed.count(), left.count(), right.count()) == (81, 1, 1)
+    assert not {"_x", "_y", "_z"} & {*left.columns, *right.columns}
+
+
+@pytest.mark.parametrize("cells", [0, 1 << 40])
+def test_joins_equal_brute_force_however_many_cells_there_are(spark, monkeypatch, cells):
+    monkeypatch.setattr(spatial, "MAX_BROADCAST_BYTES", cells)
+    people, venues, left, right = scattered(spark, 7, BOXES["mid-latitude"])
+    want = sorted(((p[0], v[0]) for p in people for v in venues
+                   if p[2] is not None and p[1] == v[1] and miles(p[2:], v[2:]) < 25), key=repr)
+    for pairs_per_task in (5, 10**9):
+        got = within_radius(left, right, 25.0, max_broadcast_bytes=0, pairs_per_task=pairs_per_task)
+        assert rows(got, "cons_id", "event_id") == want
+
+
+def test_shuffled_sides_of_a_kind_move_once(spark):
+    _, _, left, right = scattered(spark, 3, BOXES["mid-latitude"], 30)
+    right = right.withColumn("kind", F.col("event_id") % 2)
+    plan = plan_of(spatial._pairs(
+        left.withColumn("_kind", F.lit(1)), right, 25.0, same=[("_kind", "kind")], max_broadcast_bytes=0))
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in plan.split("BroadcastExchange")[0]
