@@ -219,3 +219,12 @@ def test_shuffled_sides_of_a_kind_move_once(spark):
     plan = plan_of(spatial._pairs(
         left.withColumn("_kind", F.lit(1)), right, 25.0, same=[("_kind", "kind")], max_broadcast_bytes=0))
     assert plan.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in plan.split("BroadcastExchange")[0]
+
+
+def test_texts_of_events_with_room_are_not_stored(spark, sample, monkeypatch):
+    stored, cut = [], matching.cut
+    monkeypatch.setattr(matching, "cut", lambda df: stored.append(df.columns) or cut(df))
+    people = build_constituents(INVITE, sample)
+    events = score_events(event_features(INVITE, sample))
+    pairs = matching.capacity_filter(people, events, INVITE)
+    assert stored and {"event_id", "score_event", "cons_count"} <= {*stored[-1]} <= {*pairs.columns}
